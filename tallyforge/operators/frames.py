@@ -91,7 +91,8 @@ def recent(
 
 
 def frame_boxes(boxes: DataFrame, events: DataFrame, frame_id: str | None = None) -> DataFrame:
-    """Boxes of stored events, of one frame if given."""
+    """Boxes of stored events, of one frame if given. A frame is stored once, so this
+    only tests whether it is."""
     if frame_id is not None:
         boxes = boxes.filter(F.col("frame_id") == frame_id)
-    return boxes.join(events.select("frame_id"), "frame_id")
+    return boxes.join(events.select("frame_id"), "frame_id", "left_semi")

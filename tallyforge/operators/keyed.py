@@ -73,14 +73,6 @@ def _places(df: DataFrame, by: str, cuts: Sequence[float], out: str) -> DataFram
 
 
 def _range_from_top(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cuts above the value, found by halving; NULL comes after all."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(len(cuts) - low)
-        mid = (low + high) // 2
-        return F.when(value.cast("double") < cuts[mid], search(low, mid)).otherwise(
-            search(mid + 1, high)
-        )
-
-    return F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(search(0, len(cuts)))
+    """Number of cuts above the value; NULL comes after all."""
+    above = F.filter(F.lit(list(cuts)).cast("array<double>"), lambda cut: cut > value.cast("double"))
+    return F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(above))

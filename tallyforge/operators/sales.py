@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.labels import level
 from tallyforge.functions.numeric import average, lenient_int, ratio
 from tallyforge.operators.keyed import rank_by
+from tallyforge.operators.skew import left_join_unique
 
 # Valid scores, and the year of the revenue report
 MIN_SCORE, MAX_SCORE = 1, 5
@@ -110,8 +111,7 @@ def product_sales(items: DataFrame, valid: DataFrame) -> DataFrame:
     pairs = F.sum(F.when(F.col("product_id").isNotNull(), F.col("_reviews")))
     scores = F.sum(F.when(F.col("product_id").isNotNull(), F.col("_scores")))
     return (
-        items.select("order_id", "product_id")
-        .join(per_order, "order_id", "left")
+        left_join_unique(items.select("order_id", "product_id"), per_order, "order_id")
         .groupBy("product_id")
         .agg(
             F.count("*").alias("total_sold"),

@@ -18,31 +18,47 @@ TOP_WORDS = 5
 Stopwords = Iterable[str] | DataFrame
 
 
-def clean_text(df: DataFrame, text: str, stopwords: Iterable[str], out: str = "cleaned"):
-    """The text in lower case without stopwords; rows left without any word go."""
-    cleaned = df.withColumn(out, without_stopwords(F.col(text), stopwords))
-    return cleaned.filter(F.length(out) > 0)
+def clean_text(
+    df: DataFrame, text: str, stopwords: Iterable[str], out: str = "cleaned"
+) -> DataFrame:
+    """The text in lower case without stopwords; rows left without any word go. The
+    test is part of a generator, since a filter would clean each text again."""
+    cleaned = F.array(without_stopwords(F.col(text), stopwords))
+    return df.select("*", F.explode(F.filter(cleaned, lambda c: F.length(c) > 0)).alias(out))
 
 
 def explode_words(
-    df: DataFrame, text: str, stopwords: Stopwords = (), keep: Sequence[str] = ()
+    df: DataFrame, text: str, stopwords: Iterable[str] = (), keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per counted word. A given list of stopwords is tested in place; a
-    DataFrame with a column `word` is anti-joined, for lists of any length."""
+    """One row per counted word, beside the columns `keep`."""
     tokens = df.select(*keep, F.explode(words(F.col(text))).alias("word"))
     counted = tokens.filter(is_countable(F.col("word")))
-    if isinstance(stopwords, DataFrame):
-        return counted.join(stopwords.select("word").distinct(), "word", "left_anti")
     stop = sorted(set(stopwords))
     return counted.filter(~F.col("word").isin(stop)) if stop else counted
 
 
+def count_words(
+    df: DataFrame, text: str, stopwords: Stopwords = (), classes: Sequence[str] = ()
+) -> DataFrame:
+    """Number `n` of each word, per class if classes are given.
+
+    A list of stopwords is tested word by word. A DataFrame with a column `word`, for
+    lists of any length, is anti-joined to the counts, where a word that makes up a
+    large part of the text is one row and no longer a hot join key.
+    """
+    joined = isinstance(stopwords, DataFrame)
+    tokens = explode_words(df, text, () if joined else stopwords, classes)
+    counts = tokens.groupBy(*classes, "word").agg(F.count("*").alias("n"))
+    if joined:
+        counts = counts.join(stopwords.select("word").distinct(), "word", "left_anti")
+    return counts
+
+
 def word_frequency(
     df: DataFrame, text: str, stopwords: Stopwords = (), min_count: int = MIN_WORD_COUNT
 ) -> DataFrame:
     """Words that occur more than `min_count` times."""
-    counts = explode_words(df, text, stopwords).groupBy("word").agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") > min_count)
+    return count_words(df, text, stopwords).filter(F.col("n") > min_count)
 
 
 def count_by(df: DataFrame, label: str) -> DataFrame:
@@ -83,11 +99,7 @@ def top_words(
     k: int = TOP_WORDS,
 ) -> DataFrame:
     """The `k` most frequent words per class, equal counts by word."""
-    counts = (
-        explode_words(df, text, stopwords, classes)
-        .groupBy(*classes, "word")
-        .agg(F.count("*").alias("n"))
-    )
+    counts = count_words(df, text, stopwords, classes)
     return best_per_key(counts, classes, [F.desc("n"), F.asc("word")], k)
 
 

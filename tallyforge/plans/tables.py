@@ -13,3 +13,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def money(name: str) -> Column:
     """An amount of two decimals as such, so that sums are exact."""
     return F.col(name).cast("decimal(15,2)")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table whose files give fewer splits than there are cores is dealt out to all
+    of them, which pays for work like tokenising. Larger tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

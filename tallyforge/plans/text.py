@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.operators import text as ops
-from tallyforge.plans.tables import table
+from tallyforge.plans.tables import spread, table
 
 # English stopwords, since the documents are not Vietnamese
 ENGLISH = tuple(
@@ -37,19 +37,21 @@ def _reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _documents(spark, folder).select("doc_id", "text")
+    documents = spread(_documents(spark, folder).select("doc_id", "text"))
     return ops.clean_text(documents, "text", ENGLISH).select("doc_id", "cleaned")
 
 
 def word_freq(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.word_frequency(_documents(spark, folder), "text", ENGLISH)
+    documents = spread(_documents(spark, folder).select("text"))
+    return ops.word_frequency(documents, "text", ENGLISH)
 
 
 def word_freq_joined_stopwords(spark: SparkSession, folder: str) -> DataFrame:
     """The stopwords are a table: every word of the benchmark items."""
     items = table(spark, folder, "benchmark")
     stopwords = ops.explode_words(items, "text").distinct()
-    return ops.word_frequency(_documents(spark, folder), "text", stopwords)
+    documents = spread(_documents(spark, folder).select("text"))
+    return ops.word_frequency(documents, "text", stopwords)
 
 
 def count_by_category(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,7 +73,7 @@ def aspect_extremes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top5_words_class(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = ops.with_sentiment(_reviews(spark, folder))
+    reviews = ops.with_sentiment(spread(_reviews(spark, folder)))
     return ops.top_words(reviews, ["category", "sentiment"], "comment", ENGLISH)
 
 
@@ -80,7 +82,7 @@ def top5_words_class_line(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top5_words_category(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _documents(spark, folder).withColumnRenamed("lang", "category")
+    documents = spread(_documents(spark, folder).select(F.col("lang").alias("category"), "text"))
     return ops.top_words(documents, ["category"], "text", ENGLISH)
 
 

@@ -34,7 +34,9 @@ def publish_kafka(
     return messages.writeStream.format("kafka").options(**settings).start()
 
 
-def publish_files(messages: DataFrame, path: str, checkpoint: str, **trigger: bool | str):
+def publish_files(
+    messages: DataFrame, path: str, checkpoint: str, **trigger: bool | str
+) -> StreamingQuery:
     """Append one JSON message per line to text files."""
     stream = messages.select("value").writeStream.format("text")
     return stream.option("checkpointLocation", checkpoint).trigger(**trigger).start(path)

@@ -9,10 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyforge import schemas
 from tallyforge.operators.frames import MIN_CONFIDENCE, persons_only
-from tallyforge.streaming.ingest import UNKNOWN_CAMERA, now
+from tallyforge.sinks.messages import publish_files, to_messages
+from tallyforge.streaming.ingest import UNKNOWN_CAMERA, now, parse_json
 
 Detector = Callable[[bytes], list[dict]]
 
@@ -68,3 +70,18 @@ def _calls(load_detector: Callable[[], Detector]):
             )
 
     return run
+
+
+def start_detect(
+    messages: DataFrame,
+    load_detector: Callable[[], Detector],
+    path: str,
+    checkpoint: str,
+    min_confidence: float = MIN_CONFIDENCE,
+    **trigger: bool | str,
+) -> StreamingQuery:
+    """Frame messages in, detection messages out, to text files. For a topic, hand
+    `to_messages(detect(..))` to `publish_kafka` instead."""
+    frames = parse_json(messages, schemas.FRAME)
+    results = to_messages(detect(frames, load_detector, min_confidence))
+    return publish_files(results, path, checkpoint, **trigger)

@@ -1,0 +1,255 @@
+import base64
+import json
+import shutil
+
+import pytest
+from helpers import lines, rows
+from pyspark.sql import functions as F
+
+from tallyforge import schemas
+from tallyforge.operators import frames
+from tallyforge.sinks.messages import to_messages
+from tallyforge.sources.messages import stream_kafka, stream_lines
+from tallyforge.streaming import batches, detect, ingest, stats, store
+
+ONCE = {"availableNow": True}
+BOX = {"x1": 1, "y1": 2, "x2": 3, "y2": 4, "confidence": 0.9, "label": "person"}
+
+
+def write(folder, name, *messages):
+    folder.mkdir(exist_ok=True)
+    texts = [m if isinstance(m, str) else json.dumps(m) for m in messages]
+    (folder / name).write_text("\n".join(texts) + "\n", encoding="utf-8")
+
+
+def detection(frame, at=100.5, persons=1, boxes=1, **more):
+    return {"frame_id": frame, "timestamp": at, "camera_id": "a", "person_count": persons,
+            "bounding_boxes": [BOX] * boxes, **more}
+
+
+def picture(text):
+    return base64.b64encode(text.encode()).decode()
+
+
+@pytest.fixture
+def run(tmp_path):
+    class Run:
+        source = tmp_path / "in"
+
+        def path(self, name):
+            return str(tmp_path / name)
+
+    return Run()
+
+
+def test_ingest(spark, run):
+    good = {"frame_id": "f1", "timestamp": 5.0, "camera_id": "c", "frame_b64": "aa", "other": 1}
+    no_id = {"timestamp": 6.0, "frame_b64": "bb"}
+    write(run.source, "1.json", good, no_id, no_id, {"frame_b64": ""}, {"frame_id": "x"},
+          {"frame_id": "y", "frame_b64": None}, "{not json", "[1]")
+    query = ingest.start_ingest(
+        stream_lines(spark, str(run.source)), run.path("frames"), run.path("bad"),
+        run.path("check"), **ONCE,
+    )
+    query.awaitTermination()
+    found = batches.read_table(spark, run.path("frames"), schemas.FRAME)
+    assert rows(found.select("camera_id", "timestamp")) == [
+        ("c", 5.0), ("cam-01", 6.0), ("cam-01", 6.0),
+    ]
+    # The same message has the same id, whenever it is read
+    assert len({r.frame_id for r in found.collect()}) == 2
+    bad = batches.read_table(spark, run.path("bad"), ingest.REJECTED)
+    assert rows(bad.groupBy("reason").count()) == [("invalid_json", 2), ("missing_frame", 3)]
+    seen = query.recentProgress[0].observedMetrics["frames"]
+    assert (seen.read, seen.rejected) == (8, 5)
+
+
+def test_default_time_is_that_of_the_batch(spark):
+    checked = ingest.check_frames(lines(spark, '{"frame_b64": "aa"}'))
+    before = spark.sql("SELECT unix_micros(current_timestamp()) / 1e6").first()[0]
+    at = ingest.accepted(checked).first().timestamp
+    assert before <= at < before + 60
+
+
+def load_stub():
+    def find(data):
+        return [
+            {"x1": 1.7, "y1": 0.0, "x2": float(len(data)), "y2": 1.0,
+             "confidence": int(c) / 10, "class_id": 0 if c != "9" else 1}
+            for c in data.decode()
+        ]
+
+    return find
+
+
+def test_detect(spark):
+    df = spark.createDataFrame(
+        [("f1", 5.0, "c", picture("4569")), ("f2", None, None, picture("1")),
+         (None, 6.0, "c", picture("")), ("f3", 7.0, "c", ""), ("f4", 8.0, "c", None)],
+        "frame_id string, timestamp double, camera_id string, frame_b64 string",
+    )
+    found = {r.frame_id: r for r in detect.detect(df, load_stub).collect()}
+    assert set(found) == {"f1", "f2"}
+    assert found["f1"].person_count == 2
+    assert [tuple(b) for b in found["f1"].bounding_boxes] == [
+        (1, 0, 4, 1, 0.5, "person"), (1, 0, 4, 1, 0.6, "person"),
+    ]
+    assert found["f2"].camera_id == "unknown" and found["f2"].person_count == 0
+    assert found["f2"].timestamp > 1e9 and found["f1"].inference_time >= 0
+
+
+def test_from_frames_to_tables(spark, run):
+    write(run.source, "1.json",
+          *({"frame_id": f"f{i}", "timestamp": float(i), "camera_id": "c",
+             "frame_b64": picture("5" * i + "1")} for i in range(1, 6)))
+    detect.start_detect(
+        stream_lines(spark, str(run.source)), load_stub, run.path("detections"),
+        run.path("check1"), **ONCE,
+    ).awaitTermination()
+    store.start_store_messages(
+        stream_lines(spark, run.path("detections")), run.path("events"), run.path("boxes"),
+        run.path("bad"), run.path("check2"), **ONCE,
+    ).awaitTermination()
+    events = store.read_events(spark, run.path("events"))
+    assert rows(events.select("frame_id", "person_count")) == [(f"f{i}", i) for i in range(1, 6)]
+    assert store.read_boxes(spark, run.path("boxes")).count() == 15
+
+
+def start(spark, run):
+    return store.start_store_messages(
+        stream_lines(spark, str(run.source), 1), run.path("events"), run.path("boxes"),
+        run.path("bad"), run.path("check"), **ONCE,
+    )
+
+
+def stored(spark, run):
+    events = store.read_events(spark, run.path("events"))
+    boxes = store.read_boxes(spark, run.path("boxes"))
+    return (
+        rows(events.select("frame_id", "person_count")),
+        rows(boxes.groupBy("frame_id").count()),
+    )
+
+
+def test_store_keeps_the_first_of_each_frame(spark, run):
+    write(run.source, "1.json",
+          detection("f1", boxes=2, processed_at=101.0),
+          detection("f1", persons=9, boxes=5, processed_at=102.0),
+          detection("empty", persons=0, boxes=0), "{broken", {"frame_id": "no time"})
+    start(spark, run).awaitTermination()
+    write(run.source, "2.json", detection("f1", persons=8, boxes=1), detection("f2"),
+          detection("empty", persons=3, boxes=3))
+    start(spark, run).awaitTermination()
+    assert stored(spark, run) == (
+        [("empty", 0), ("f1", 1), ("f2", 1)], [("f1", 2), ("f2", 1)],
+    )
+    bad = spark.read.parquet(run.path("bad"))
+    assert bad.count() == 2
+    event = store.read_events(spark, run.path("events")).filter("frame_id = 'f2'").first()
+    assert event.inference_time == 0 and event.processed_at == event.captured_at
+    assert event.captured_at.microsecond == 500000
+
+
+def test_replay_after_losing_the_commit(spark, run):
+    write(run.source, "1.json", detection("f1", boxes=2), detection("f2"))
+    start(spark, run).awaitTermination()
+    before = stored(spark, run)
+    # The tables are written, but the checkpoint does not know of the batch
+    shutil.rmtree(run.path("check") + "/commits")
+    start(spark, run).awaitTermination()
+    assert stored(spark, run) == before
+
+
+def test_crash_between_the_two_writes(spark, run, monkeypatch):
+    write(run.source, "1.json", detection("f1", boxes=2), detection("f2"))
+    real = store.write_batch
+
+    def fails(df, path, writer, batch_id):
+        if path.endswith("events"):
+            raise RuntimeError("lost")
+        real(df, path, writer, batch_id)
+
+    monkeypatch.setattr(store, "write_batch", fails)
+    with pytest.raises(Exception, match="lost"):
+        start(spark, run).awaitTermination()
+    assert stored(spark, run)[0] == []
+    monkeypatch.setattr(store, "write_batch", real)
+    start(spark, run).awaitTermination()
+    assert stored(spark, run) == ([("f1", 1), ("f2", 1)], [("f1", 2), ("f2", 1)])
+
+
+def test_large_batches_are_not_broadcast(spark, run, monkeypatch):
+    monkeypatch.setattr(store, "MAX_BROADCAST_FRAMES", 0)
+    test_store_keeps_the_first_of_each_frame(spark, run)
+
+
+def test_stream_deduplication(spark, run):
+    write(run.source, "1.json", detection("f1"), detection("f1"), detection("f2", 101.0))
+    write(run.source, "2.json", detection("f1"), detection("f3", 102.0))
+    messages = stream_lines(spark, str(run.source), 1)
+    unique = store.drop_repeats(store.good_detections(store.check_detections(messages)), "1 hour")
+    store.start_store(
+        unique, run.path("events"), run.path("boxes"), run.path("check"), **ONCE
+    ).awaitTermination()
+    events = store.read_events(spark, run.path("events"))
+    assert rows(events.select("frame_id")) == [("f1",), ("f2",), ("f3",)]
+
+
+def minutes(spark, run, name, mode, delay="10 minutes"):
+    """Run the streaming statistics; the last state of every window."""
+    messages = stream_lines(spark, str(run.source), 1)
+    events = store.to_events(store.good_detections(store.check_detections(messages)))
+    found = {}
+
+    def write(batch, batch_id):
+        for row in batch.collect():
+            found[(row.minute, row.camera_id)] = tuple(row)[2:]
+
+    query = stats.minute_statistics(events, delay).writeStream.outputMode(mode)
+    query.foreachBatch(write).option("checkpointLocation", run.path(name)).trigger(
+        **ONCE
+    ).start().awaitTermination()
+    return found
+
+
+def test_streaming_statistics(spark, run):
+    write(run.source, "1.json", *(detection(f"f{i}", 60.0 * i + 1, i % 3) for i in range(30)))
+    write(run.source, "2.json", *(detection(f"g{i}", 60.0 * i + 2, 5) for i in range(30, 40)))
+    records = store.good_detections(
+        store.check_detections(spark.read.text(str(run.source)))
+    )
+    batch = {tuple(r)[:2]: tuple(r)[2:] for r in frames.by_minute(store.to_events(records)).collect()}
+    assert minutes(spark, run, "complete", "complete") == batch
+    assert minutes(spark, run, "update", "update") == batch
+    # Append gives only the windows that the watermark has closed, and the same numbers
+    closed = minutes(spark, run, "append", "append")
+    assert 0 < len(closed) < len(batch)
+    assert closed.items() <= batch.items()
+
+
+def test_late_rows_are_missing_from_the_stream_only(spark, run):
+    write(run.source, "1.json", detection("new", 100_000.0))
+    write(run.source, "2.json", detection("newer", 100_060.0))
+    write(run.source, "3.json", detection("late", 60.0))
+    found = minutes(spark, run, "update", "update", "1 minute")
+    assert len(found) == 2
+    records = store.good_detections(store.check_detections(spark.read.text(str(run.source))))
+    assert frames.by_minute(store.to_events(records)).count() == 3
+
+
+def test_messages(spark):
+    df = spark.createDataFrame([("f", 1.5, None)], "frame_id string, t double, x int")
+    assert rows(to_messages(df, "frame_id")) == [("f", '{"frame_id":"f","t":1.5}')]
+
+
+def test_kafka_start_is_checked(spark):
+    with pytest.raises(ValueError):
+        stream_kafka(spark, "host:1", "topic", "now")
+
+
+def test_empty_tables(spark, run):
+    assert rows(store.read_events(spark, run.path("none"))) == []
+    assert rows(frames.summary(store.read_events(spark, run.path("none")))) == [
+        (0, 0, None, None, None)
+    ]
+    assert store.read_boxes(spark, run.path("none")).agg(F.count("*")).first()[0] == 0
