@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.labels import level
-from tallyforge.functions.numeric import average, lenient_int, ratio
+from tallyforge.functions.numeric import average, lenient_int, ratio, total
 from tallyforge.operators.keyed import rank_by
 from tallyforge.operators.skew import left_join_unique
 
@@ -79,21 +79,26 @@ def purchased_in(orders: DataFrame, year: int) -> DataFrame:
     return orders.filter((at >= start) & (at < end))
 
 
+def with_revenue(items: DataFrame, *keys: str) -> DataFrame:
+    """The keys and `revenue`, price plus freight; NULL if either is."""
+    return items.select(*keys, (F.col("price") + F.col("freight")).alias("revenue"))
+
+
 def revenue_by_category(
     orders: DataFrame, items: DataFrame, products: DataFrame, year: int = REVENUE_YEAR
 ) -> DataFrame:
     """Price plus freight per product category for one year's orders, most first.
     Lines shrink to one row per product before the categories are joined."""
+    lines = with_revenue(items, "order_id", "product_id")
     per_product = (
-        items.select("order_id", "product_id", (F.col("price") + F.col("freight")).alias("_r"))
-        .join(purchased_in(orders, year).select("order_id"), "order_id")
+        lines.join(purchased_in(orders, year).select("order_id"), "order_id")
         .groupBy("product_id")
-        .agg(F.sum("_r").alias("_r"))
+        .agg(total(lines, "revenue").alias("revenue"))
     )
     return (
         per_product.join(products.select("product_id", "category"), "product_id")
         .groupBy("category")
-        .agg(F.sum("_r").alias("total_revenue"))
+        .agg(F.sum("revenue").alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "category")
     )
 
@@ -142,10 +147,8 @@ def delivery_difference(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def order_values(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders with their value, the sum of price and freight of their lines."""
-    value = (F.col("price") + F.col("freight")).alias("_v")
-    values = items.select("order_id", value).groupBy("order_id").agg(
-        F.sum("_v").alias("order_value")
-    )
+    lines = with_revenue(items, "order_id")
+    values = lines.groupBy("order_id").agg(total(lines, "revenue").alias("order_value"))
     return orders.select("customer_id", "order_id", "purchased_at").join(values, "order_id")
 
 
@@ -180,10 +183,11 @@ def customer_segments(
 
 def seller_rank(items: DataFrame) -> DataFrame:
     """Sellers with revenue and distinct orders, ranked by each, highest first."""
-    per_order = items.groupBy("seller_id", "order_id").agg(
-        F.sum(F.col("price") + F.col("freight")).alias("_r")
+    lines = with_revenue(items, "seller_id", "order_id")
+    per_order = lines.groupBy("seller_id", "order_id").agg(
+        total(lines, "revenue").alias("revenue")
     )
     sellers = per_order.groupBy("seller_id").agg(
-        F.sum("_r").alias("revenue"), F.count("order_id").alias("n_orders")
+        F.sum("revenue").alias("revenue"), F.count("order_id").alias("n_orders")
     )
     return rank_by(sellers, {"revenue_rank": "revenue", "orders_rank": "n_orders"})

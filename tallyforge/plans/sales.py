@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.functions.numeric import from_units, units
 from tallyforge.operators import sales as ops
 from tallyforge.operators.keyed import first_per_key
 from tallyforge.operators.keyed import insert_if_absent as insert_absent
 from tallyforge.plans.tables import money, table
 
 YEAR = 1998
+AMOUNT_DIGITS = 4
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
@@ -37,15 +39,16 @@ def _customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines; the tax on the price stands for the freight."""
-    price = money("l_extendedprice")
+    """Order lines; the tax on the price stands for the freight. Both are whole numbers
+    of 1 / 10,000, since the tax rate has two digits as well."""
+    cents = units(F.col("l_extendedprice"), 2)
     return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipped_at"),
-        price.alias("price"),
-        (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight"),
+        (cents * 100).alias("price"),
+        (cents * units(F.col("l_tax"), 2)).alias("freight"),
     )
 
 
@@ -84,7 +87,7 @@ def revenue_by_category(spark: SparkSession, folder: str) -> DataFrame:
     revenue = ops.revenue_by_category(
         _orders(spark, folder), _items(spark, folder), products, YEAR
     )
-    return revenue.withColumn("total_revenue", F.col("total_revenue").cast("double"))
+    return revenue.withColumn("total_revenue", from_units(F.col("total_revenue"), AMOUNT_DIGITS))
 
 
 def product_sales_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +129,7 @@ def customer_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 def seller_rank(spark: SparkSession, folder: str) -> DataFrame:
     ranked = ops.seller_rank(_items(spark, folder))
-    return ranked.withColumn("revenue", F.col("revenue").cast("double"))
+    return ranked.withColumn("revenue", from_units(F.col("revenue"), AMOUNT_DIGITS))
 
 
 QUERIES = {

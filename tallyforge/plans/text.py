@@ -51,7 +51,7 @@ def word_freq_joined_stopwords(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "benchmark")
     stopwords = ops.explode_words(items, "text").distinct()
     documents = spread(_documents(spark, folder).select("text"))
-    return ops.word_frequency(documents, "text", stopwords)
+    return ops.word_frequency(documents, "text", stopwords, 50)
 
 
 def count_by_category(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,7 +154,7 @@ SQL = {
       FROM (SELECT unnest({_WORDS.format(text="text")}) AS word FROM documents)
       WHERE {_COUNTABLE} AND word NOT IN (
         SELECT unnest({_WORDS.format(text="text")}) FROM benchmark)
-      GROUP BY word HAVING count(*) > 500""",
+      GROUP BY word HAVING count(*) > 50""",
     "count_by_category": """
       SELECT lang AS category, count(*) AS n FROM documents
       WHERE length(lang) > 0 GROUP BY lang ORDER BY 1""",

@@ -1,5 +1,6 @@
 import base64
 import json
+import os
 import shutil
 
 import pytest
@@ -19,7 +20,10 @@ BOX = {"x1": 1, "y1": 2, "x2": 3, "y2": 4, "confidence": 0.9, "label": "person"}
 def write(folder, name, *messages):
     folder.mkdir(exist_ok=True)
     texts = [m if isinstance(m, str) else json.dumps(m) for m in messages]
-    (folder / name).write_text("\n".join(texts) + "\n", encoding="utf-8")
+    path = folder / name
+    path.write_text("\n".join(texts) + "\n", encoding="utf-8")
+    # Files are read in the order of their times
+    os.utime(path, (1_700_000_000 + int(name[0]),) * 2)
 
 
 def detection(frame, at=100.5, persons=1, boxes=1, **more):
@@ -71,18 +75,22 @@ def test_default_time_is_that_of_the_batch(spark):
     assert before <= at < before + 60
 
 
+@pytest.fixture
 def load_stub():
-    def find(data):
-        return [
-            {"x1": 1.7, "y1": 0.0, "x2": float(len(data)), "y2": 1.0,
-             "confidence": int(c) / 10, "class_id": 0 if c != "9" else 1}
-            for c in data.decode()
-        ]
+    def load():
+        def find(data):
+            return [
+                {"x1": 1.7, "y1": 0.0, "x2": float(len(data)), "y2": 1.0,
+                 "confidence": int(c) / 10, "class_id": 0 if c != "9" else 1}
+                for c in data.decode()
+            ]
+
+        return find
 
-    return find
+    return load
 
 
-def test_detect(spark):
+def test_detect(spark, load_stub):
     df = spark.createDataFrame(
         [("f1", 5.0, "c", picture("4569")), ("f2", None, None, picture("1")),
          (None, 6.0, "c", picture("")), ("f3", 7.0, "c", ""), ("f4", 8.0, "c", None)],
@@ -98,7 +106,7 @@ def test_detect(spark):
     assert found["f2"].timestamp > 1e9 and found["f1"].inference_time >= 0
 
 
-def test_from_frames_to_tables(spark, run):
+def test_from_frames_to_tables(spark, run, load_stub):
     write(run.source, "1.json",
           *({"frame_id": f"f{i}", "timestamp": float(i), "camera_id": "c",
              "frame_b64": picture("5" * i + "1")} for i in range(1, 6)))
