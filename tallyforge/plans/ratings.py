@@ -126,7 +126,55 @@ def union_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return ops.item_average(ops.all_ratings(*sources))
 
 
+def _people(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as people: the first letter of the customer's segment is the gender, the
+    whole thousands of the balance, ten years each, give the age."""
+    return _orders_with_customer(
+        spark, folder,
+        F.substring("c_mktsegment", 1, 1).alias("gender"),
+        (F.floor(F.col("c_acctbal") / 1000) * 10).cast("int").alias("age"),
+    )
+
+
+def _long_titles(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts with a title that is often too long for a report."""
+    title = F.concat_ws(" ", "p_name", "p_type", "p_brand", "p_name", "p_size")
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("item_id"), title.alias("title")
+    )
+
+
+def gender_report(spark: SparkSession, folder: str) -> DataFrame:
+    averages = ops.attribute_average(
+        _line_ratings(spark, folder), _people(spark, folder), "gender"
+    )
+    titled = ops.with_title(averages, _long_titles(spark, folder))
+    return reports.gender_report(titled.withColumn("item_id", F.col("item_id").cast("string")))
+
+
+def age_report(spark: SparkSession, folder: str) -> DataFrame:
+    users = ops.with_band(_people(spark, folder), "age", "age_band")
+    averages = ops.attribute_average(_line_ratings(spark, folder), users, "age_band")
+    titled = ops.with_title(averages, _long_titles(spark, folder))
+    return reports.age_report(titled.withColumn("item_id", F.col("item_id").cast("string")))
+
+
+def occupation_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations stand for occupations."""
+    return reports.occupation_report(
+        avg_by_dim(spark, folder).withColumnRenamed("nation", "occupation")
+    )
+
+
+def year_report(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.year_report(by_year(spark, folder))
+
+
 QUERIES = {
+    "gender_report": gender_report,
+    "age_report": age_report,
+    "occupation_report": occupation_report,
+    "year_report": year_report,
     "item_avg": item_avg,
     "top_item": top_item,
     "item_report": item_report,
@@ -162,7 +210,51 @@ def _by_attribute(expression: str, name: str) -> str:
       GROUP BY l_partkey, {expression}, p_name"""
 
 
+def _pad(text: str, width: int) -> str:
+    return f"rpad({text}, CAST(greatest({width}, length({text})) AS INTEGER), ' ')"
+
+
+def _two_digits(number: str) -> str:
+    return f"printf('%.2f', round({number}::DECIMAL(38,10), 2))"
+
+
+_AGE = "CAST(floor(c_acctbal / 1000) * 10 AS INTEGER)"
+_AGE_BAND = f"""CASE WHEN {_AGE} < 18 THEN '<18' WHEN {_AGE} < 36 THEN '18-35'
+  WHEN {_AGE} < 51 THEN '36-50' ELSE '51+' END"""
+_TITLE = "p_name || ' ' || p_type || ' ' || p_brand || ' ' || p_name || ' ' || p_size"
+
+
+def _person_report(key: str, attribute: str, limit: int, widths: tuple[int, int]) -> str:
+    """Grouped by `key`, which `attribute` names. Longer titles than `limit` are cut to
+    two characters less."""
+    title = f"CASE WHEN length(title) > {limit} THEN substr(title, 1, {limit - 2}) || '...' ELSE title END"
+    return f"""
+      SELECT {_pad("item_id", 10)} || ' | ' || {_pad("title", widths[0])} || ' | '
+        || {_pad("attribute", widths[1])} || ' | ' || {_two_digits("avg_rating")} AS value
+      FROM (SELECT item_id, {title} AS title, attribute, avg_rating FROM (
+        SELECT CAST(l_partkey AS VARCHAR) AS item_id, {_TITLE} AS title, {attribute} AS attribute,
+               avg(l_quantity) AS avg_rating
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+          JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey
+        GROUP BY l_partkey, p_name, p_type, p_brand, p_size, {key}))"""
+
+
 SQL = {
+    "gender_report": _person_report(
+        "substr(c_mktsegment, 1, 1)",
+        "CASE WHEN substr(c_mktsegment, 1, 1) = 'M' THEN 'Nam' ELSE 'Nữ' END", 37, (40, 10)
+    ),
+    "age_report": _person_report(_AGE_BAND, _AGE_BAND, 32, (35, 12)),
+    "occupation_report": f"""
+      SELECT {_pad("n_name", 25)} || ' | ' || {_pad(_two_digits("avg_rating"), 15)} || ' | ' || n AS value
+      FROM (SELECT n_name, CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS avg_rating, count(*) AS n
+            FROM orders JOIN customer ON o_custkey = c_custkey
+              JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name)""",
+    "year_report": f"""
+      SELECT {_pad("y", 10)} || ' | ' || {_pad(_two_digits("avg_rating"), 15)} || ' | ' || n AS value
+      FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, count(*) AS n,
+                   CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS avg_rating
+            FROM orders GROUP BY 1)""",
     "item_avg": _ITEMS,
     "top_item": f"{_ITEMS} ORDER BY avg_rating DESC, title, item_id LIMIT 1",
     "item_report": f"""
@@ -171,8 +263,7 @@ SQL = {
       FROM ({_ITEMS})""",
     "multi_label_avg": f"{_LABELS} ORDER BY avg_rating DESC, label",
     "label_report": f"""
-      SELECT rpad(label, CAST(greatest(20, length(label)) AS INTEGER), ' ') || ' | '
-        || printf('%.2f', round(avg_rating::DECIMAL(38,10), 2)) AS value FROM ({_LABELS})""",
+      SELECT {_pad("label", 20)} || ' | ' || {_two_digits("avg_rating")} AS value FROM ({_LABELS})""",
     "item_by_attr": _by_attribute("c_mktsegment", "segment"),
     "item_by_band": _by_attribute(
         """CASE WHEN c_acctbal < 0 THEN '<0' WHEN c_acctbal < 2500 THEN '0-2499'

@@ -16,7 +16,8 @@ def money(name: str) -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table whose files give fewer splits than there are cores is dealt out to all
-    of them, which pays for work like tokenising. Larger tables stay as they are."""
+    """A table, straight from its files, that gives fewer splits than there are cores is
+    dealt out to all of them, which pays for work like tokenising. Larger tables stay as
+    they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

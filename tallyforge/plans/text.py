@@ -23,17 +23,17 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
-def _reviews(spark: SparkSession, folder: str) -> DataFrame:
+def _reviews(documents: DataFrame, folder: str) -> DataFrame:
     """Documents as comments: the language is the aspect and the category, the
     quality label the sentiment."""
-    labels = table(spark, folder, "labels").select(
+    labels = table(documents.sparkSession, folder, "labels").select(
         "doc_id", F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("sentiment")
     )
-    documents = _documents(spark, folder).select(
+    comments = documents.select(
         "doc_id", F.col("text").alias("comment"),
         F.col("lang").alias("aspect"), F.col("lang").alias("category"),
     )
-    return documents.join(labels, "doc_id")
+    return comments.join(labels, "doc_id")
 
 
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,15 +65,16 @@ def count_by_aspect(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def aspect_sentiment(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.aspect_sentiment(_reviews(spark, folder))
+    return ops.aspect_sentiment(_reviews(_documents(spark, folder), folder))
 
 
 def aspect_extremes(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.aspect_extremes(_reviews(spark, folder))
+    return ops.aspect_extremes(_reviews(_documents(spark, folder), folder))
 
 
 def top5_words_class(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = ops.with_sentiment(spread(_reviews(spark, folder)))
+    documents = spread(_documents(spark, folder).select("doc_id", "text", "lang"))
+    reviews = ops.with_sentiment(_reviews(documents, folder))
     return ops.top_words(reviews, ["category", "sentiment"], "comment", ENGLISH)
 
 

@@ -78,4 +78,7 @@ DETECTION_EVENTS = _struct(
     created_at=TIMESTAMP,
 )
 
+# As stored: beside the event its day, which is a folder of the table
+STORED_EVENTS = T.StructType([*DETECTION_EVENTS, T.StructField("event_date", T.DateType())])
+
 BOUNDING_BOXES = _struct(frame_id=STRING, x1=INT, y1=INT, x2=INT, y2=INT, confidence=DOUBLE)

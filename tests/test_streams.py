@@ -1,4 +1,5 @@
 import base64
+import datetime as dt
 import json
 import os
 import shutil
@@ -172,10 +173,10 @@ def test_crash_between_the_two_writes(spark, run, monkeypatch):
     write(run.source, "1.json", detection("f1", boxes=2), detection("f2"))
     real = store.write_batch
 
-    def fails(df, path, writer, batch_id):
+    def fails(df, path, *rest, **more):
         if path.endswith("events"):
             raise RuntimeError("lost")
-        real(df, path, writer, batch_id)
+        real(df, path, *rest, **more)
 
     monkeypatch.setattr(store, "write_batch", fails)
     with pytest.raises(Exception, match="lost"):
@@ -191,6 +192,26 @@ def test_large_batches_are_not_broadcast(spark, run, monkeypatch):
     test_store_keeps_the_first_of_each_frame(spark, run)
 
 
+def test_lookback_and_days(spark, run):
+    day = 86_400.0
+    checked = [
+        store.good_detections(store.check_detections(lines(spark, *map(json.dumps, records))))
+        for records in (
+            [detection("old", day), detection("new", 10 * day)],
+            [detection("new", 11 * day), detection("old", 11 * day)],
+        )
+    ]
+    for number, batch in enumerate(checked):
+        store.store_batch(batch, "w", number, run.path("events"), run.path("boxes"), 3)
+    # A stated bound: the old frame lies before it, so it counts as new
+    events = store.read_events(spark, run.path("events"))
+    assert rows(events.groupBy("frame_id").count()) == [("new", 1), ("old", 2)]
+    recent = store.read_events(spark, run.path("events"), dt.date(1970, 1, 11))
+    assert rows(recent.select("frame_id")) == [("new",), ("old",)]
+    plan = recent.select("frame_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
 def test_stream_deduplication(spark, run):
     write(run.source, "1.json", detection("f1"), detection("f1"), detection("f2", 101.0))
     write(run.source, "2.json", detection("f1"), detection("f3", 102.0))
