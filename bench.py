@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -20,7 +21,7 @@ from tallyforge.session import get_session  # noqa: E402
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     only = [name for name in os.environ.get("BENCH_ONLY", "").split(",") if name]
     spark = get_session(
         "bench",
@@ -32,18 +33,16 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # Class loading and the first compilation belong to no query
-    plans.QUERIES["item_avg"](spark, folder).write.format("noop").mode("overwrite").save()
-
     seconds = {}
     for name in only or plans.QUERIES:
         times = []
-        for _ in range(runs):
+        # The first run loads classes and compiles, and does not count
+        for _ in range(runs + 1):
             start = time.perf_counter()
             result = plans.QUERIES[name](spark, folder)
             result.write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
-        seconds[name] = round(min(times), 3)
+        seconds[name] = round(statistics.median(times[1:]), 3)
     print(
         json.dumps(
             {

@@ -1,27 +1,17 @@
 """The default Vietnamese stopword list."""
 
-# The stopword list as supplied, without repeats. The entries of
-# two words stay for completeness; they never equal a single token.
-VIETNAMESE = tuple(
-    """
-là của và có được bị đã đang sẽ từng cũng vẫn còn lại rất khá hơi quá
-tôi ta tao mày bạn anh chị em ông bà họ chúng nó
-một hai ba vài nhiều ít mọi mỗi các những cái này kia đó ấy
-trong ngoài trên dưới giữa bên cạnh với theo cho về từ đến tại bởi
-vì do nên nếu thì mà nhưng hoặc ai gì nào sao đâu chăng à ư hả nhỉ nhé
-cần phải muốn định ngày tháng năm lúc khi trước sau rồi ạ ừ ừm nha đấy
-thôi cơ chứ làm đi ra vào ở nói biết thấy nghĩ
-""".split()
-) + (
-    "chúng tôi",
-    "chúng ta",
-    "chúng nó",
-    "tại sao",
-    "bao giờ",
-    "bao lâu",
-    "bao nhiêu",
-    "có thể",
-    "hôm nay",
-    "hôm qua",
-    "đã từng",
-)
+# The stopword list in the order supplied, repeats included. The entries
+# of two words never equal a single token.
+_LISTED = """
+là, của, và, có, được, bị, đã, đang, sẽ, từng, cũng, vẫn, còn, lại, rất, khá, hơi, quá,
+tôi, ta, tao, mày, bạn, anh, chị, em, ông, bà, họ, chúng, chúng tôi, chúng ta, chúng nó,
+nó, một, hai, ba, vài, nhiều, ít, mọi, mỗi, từng, các, những, cái, này, kia, đó, ấy,
+trong, ngoài, trên, dưới, giữa, bên, cạnh, với, theo, cho, về, từ, đến, tại, bởi, vì,
+do, nên, nếu, thì, mà, nhưng, hoặc, ai, gì, nào, sao, tại sao, bao giờ, bao lâu, bao
+nhiêu, đâu, chăng, à, ư, hả, nhỉ, nhé, có thể, cần, phải, nên, muốn, định, đang, được,
+bị, hôm nay, hôm qua, ngày, tháng, năm, lúc, khi, trước, sau, rồi, đã từng, ạ, à, ừ, ừm,
+nhé, nha, nhỉ, đấy, đó, thôi, cơ, mà, chứ, làm, đi, đến, ra, vào, ở, nói, biết, thấy,
+nghĩ
+"""
+
+VIETNAMESE = tuple(dict.fromkeys(" ".join(_LISTED.split()).split(", ")))

@@ -74,5 +74,6 @@ def _places(df: DataFrame, by: str, cuts: Sequence[float], out: str) -> DataFram
 
 def _range_from_top(value: Column, cuts: Sequence[float]) -> Column:
     """Number of cuts above the value; NULL comes after all."""
-    above = F.filter(F.lit(list(cuts)).cast("array<double>"), lambda cut: cut > value.cast("double"))
+    number = value.cast("double")
+    above = F.filter(F.lit(list(cuts)).cast("array<double>"), lambda cut: cut > number)
     return F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(above))

@@ -93,7 +93,10 @@ def _order_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_custkey").alias("user_id"),
         money("o_totalprice").alias("rating"),
-        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("epoch"),
+        # The dates have no zone; they count as UTC
+        F.timestamp_diff(
+            "SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), "o_orderdate"
+        ).alias("epoch"),
     )
 
 
@@ -149,14 +152,14 @@ def gender_report(spark: SparkSession, folder: str) -> DataFrame:
         _line_ratings(spark, folder), _people(spark, folder), "gender"
     )
     titled = ops.with_title(averages, _long_titles(spark, folder))
-    return reports.gender_report(titled.withColumn("item_id", F.col("item_id").cast("string")))
+    return reports.gender_report(titled)
 
 
 def age_report(spark: SparkSession, folder: str) -> DataFrame:
     users = ops.with_band(_people(spark, folder), "age", "age_band")
     averages = ops.attribute_average(_line_ratings(spark, folder), users, "age_band")
     titled = ops.with_title(averages, _long_titles(spark, folder))
-    return reports.age_report(titled.withColumn("item_id", F.col("item_id").cast("string")))
+    return reports.age_report(titled)
 
 
 def occupation_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,7 +230,8 @@ _TITLE = "p_name || ' ' || p_type || ' ' || p_brand || ' ' || p_name || ' ' || p
 def _person_report(key: str, attribute: str, limit: int, widths: tuple[int, int]) -> str:
     """Grouped by `key`, which `attribute` names. Longer titles than `limit` are cut to
     two characters less."""
-    title = f"CASE WHEN length(title) > {limit} THEN substr(title, 1, {limit - 2}) || '...' ELSE title END"
+    short = f"substr(title, 1, {limit - 2}) || '...'"
+    title = f"CASE WHEN length(title) > {limit} THEN {short} ELSE title END"
     return f"""
       SELECT {_pad("item_id", 10)} || ' | ' || {_pad("title", widths[0])} || ' | '
         || {_pad("attribute", widths[1])} || ' | ' || {_two_digits("avg_rating")} AS value
@@ -246,12 +250,14 @@ SQL = {
     ),
     "age_report": _person_report(_AGE_BAND, _AGE_BAND, 32, (35, 12)),
     "occupation_report": f"""
-      SELECT {_pad("n_name", 25)} || ' | ' || {_pad(_two_digits("avg_rating"), 15)} || ' | ' || n AS value
+      SELECT {_pad("n_name", 25)} || ' | ' || {_pad(_two_digits("avg_rating"), 15)}
+        || ' | ' || n AS value
       FROM (SELECT n_name, CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS avg_rating, count(*) AS n
             FROM orders JOIN customer ON o_custkey = c_custkey
               JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name)""",
     "year_report": f"""
-      SELECT {_pad("y", 10)} || ' | ' || {_pad(_two_digits("avg_rating"), 15)} || ' | ' || n AS value
+      SELECT {_pad("y", 10)} || ' | ' || {_pad(_two_digits("avg_rating"), 15)}
+        || ' | ' || n AS value
       FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, count(*) AS n,
                    CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS avg_rating
             FROM orders GROUP BY 1)""",
@@ -263,7 +269,8 @@ SQL = {
       FROM ({_ITEMS})""",
     "multi_label_avg": f"{_LABELS} ORDER BY avg_rating DESC, label",
     "label_report": f"""
-      SELECT {_pad("label", 20)} || ' | ' || {_two_digits("avg_rating")} AS value FROM ({_LABELS})""",
+      SELECT {_pad("label", 20)} || ' | ' || {_two_digits("avg_rating")} AS value
+      FROM ({_LABELS})""",
     "item_by_attr": _by_attribute("c_mktsegment", "segment"),
     "item_by_band": _by_attribute(
         """CASE WHEN c_acctbal < 0 THEN '<0' WHEN c_acctbal < 2500 THEN '0-2499'

@@ -15,9 +15,10 @@ def money(name: str) -> Column:
     return F.col(name).cast("decimal(15,2)")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """A table, straight from its files, that gives fewer splits than there are cores is
     dealt out to all of them, which pays for work like tokenising. Larger tables stay as
-    they are."""
+    they are. For a stream, `files` is the table that it reads."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = (df if files is None else files).rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores else df

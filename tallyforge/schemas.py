@@ -19,7 +19,7 @@ ITEMS = _struct(item_id=STRING, title=STRING, labels=STRING)
 USERS = _struct(user_id=STRING, gender=STRING, age=INT, occupation_id=STRING, zip=STRING)
 OCCUPATIONS = _struct(occupation_id=STRING, occupation=STRING)
 
-# Sales tables: CSV header name -> (column name here, type)
+# Header names of the sales files -> (column name here, type)
 ORDERS_CSV = {
     "Order_ID": ("order_id", STRING),
     "Customer_Trx_ID": ("customer_id", STRING),
@@ -47,6 +47,7 @@ ORDER_REVIEWS_CSV = {
     "Review_Score": ("review_score", STRING),
 }
 
+# Field names of the messages
 FRAME = _struct(
     frame_id=STRING, timestamp=DOUBLE, camera_id=STRING, width=INT, height=INT, frame_b64=STRING
 )

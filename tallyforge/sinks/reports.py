@@ -9,6 +9,7 @@ from tallyforge.functions.labels import gender_name
 from tallyforge.functions.text import shorten
 
 # Row formats of the rating reports
+ITEM_ROW = "MovieID: %s | Title: %s | Average Rating: %s | Total Ratings: %d"
 GENRE_ROW = "%-20s | %.2f"
 GENDER_ROW = "%-10s | %-40s | %-10s | %.2f"
 AGE_ROW = "%-10s | %-35s | %-12s | %.2f"
@@ -23,14 +24,9 @@ def report(df: DataFrame, row_format: str, *columns: Column | str) -> DataFrame:
 
 def item_report(stats: DataFrame) -> DataFrame:
     """Averages in full precision, one line per item."""
-    return stats.select(
-        F.concat_ws(
-            " | ",
-            F.concat(F.lit("MovieID: "), "item_id"),
-            F.concat(F.lit("Title: "), "title"),
-            F.concat(F.lit("Average Rating: "), F.col("avg_rating").cast("string")),
-            F.concat(F.lit("Total Ratings: "), F.col("n_ratings").cast("string")),
-        ).alias("value")
+    average = F.col("avg_rating").cast("string")
+    return report(
+        stats, ITEM_ROW, F.col("item_id").cast("string"), "title", average, "n_ratings"
     )
 
 
@@ -41,12 +37,14 @@ def label_report(averages: DataFrame) -> DataFrame:
 def gender_report(averages: DataFrame) -> DataFrame:
     title = shorten(F.col("title"), 37, 35)
     gender = gender_name(F.col("gender"))
-    return report(averages, GENDER_ROW, "item_id", title, gender, "avg_rating")
+    item = F.col("item_id").cast("string")
+    return report(averages, GENDER_ROW, item, title, gender, "avg_rating")
 
 
 def age_report(averages: DataFrame) -> DataFrame:
     title = shorten(F.col("title"), 32, 30)
-    return report(averages, AGE_ROW, "item_id", title, "age_band", "avg_rating")
+    item = F.col("item_id").cast("string")
+    return report(averages, AGE_ROW, item, title, "age_band", "avg_rating")
 
 
 def occupation_report(averages: DataFrame) -> DataFrame:
