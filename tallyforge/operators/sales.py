@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.labels import level
 from tallyforge.functions.numeric import average, lenient_int, ratio, total
 from tallyforge.operators.keyed import rank_by
-from tallyforge.operators.skew import left_join_unique
+from tallyforge.operators.skew import for_skewed_join
 
 # Valid scores, and the year of the revenue report
 MIN_SCORE, MAX_SCORE = 1, 5
@@ -113,10 +113,11 @@ def product_sales(items: DataFrame, valid: DataFrame) -> DataFrame:
     per_order = valid.groupBy("order_id").agg(
         F.sum("score").alias("_scores"), F.count("*").alias("_reviews")
     )
+    sold = items.select("order_id", "product_id")
     pairs = F.sum(F.when(F.col("product_id").isNotNull(), F.col("_reviews")))
     scores = F.sum(F.when(F.col("product_id").isNotNull(), F.col("_scores")))
     return (
-        left_join_unique(items.select("order_id", "product_id"), per_order, "order_id")
+        sold.join(for_skewed_join(per_order, sold), "order_id", "left")
         .groupBy("product_id")
         .agg(
             F.count("*").alias("total_sold"),

@@ -1,50 +1,21 @@
 """Joins in which one key may hold a large part of the rows.
 
-Spark splits a skewed join at run time, but only where both sides come straight from
-a shuffle. A side that was aggregated on the join key does not; for such joins the hot
-keys are found beforehand and joined by broadcast, all others as usual.
+Spark splits a skewed join at run time if both sides come straight from a shuffle. A
+side that was aggregated on the join key does not: it keeps the partitions of the
+aggregate, and the other side's hot key stays with one task. Written out first, it is
+shuffled for the join like any table, and the other side can be split.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A key is hot from this share of the rows on; there are less than 1 / share of them
-HOT_SHARE = 0.001
+from tallyforge.session import materialise
+
 # Below this number of rows one task can take them all
 MIN_ROWS = 10_000_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys, NULL among them, that hold more than `share` of the rows.
-
-    The first pass keeps a bounded list of candidates, which no hot key can escape, and
-    shuffles no rows. The second one counts the candidates.
-    """
-    candidates = df.select(key).freqItems([key], share).first()[0]
-    column = F.col(key)
-    listed = column.isin([c for c in candidates if c is not None]) | column.isNull()
-    counts = df.filter(listed).groupBy(key).agg(F.count("*").alias("n")).collect()
-    least = share * df.count()
-    return [row[key] for row in counts if row.n > least]
-
-
-def left_join_unique(
-    rows: DataFrame,
-    side: DataFrame,
-    key: str,
-    share: float = HOT_SHARE,
-    min_rows: int = MIN_ROWS,
-) -> DataFrame:
-    """Left join to a side with one row per key, whatever the keys of `rows` are."""
-    hot = hot_keys(rows, key, share) if rows.count() >= min_rows else []
-    if not hot:
-        return rows.join(side, key, "left")
-    column = F.col(key)
-    is_hot = column.isin([k for k in hot if k is not None])
-    # The side holds at most one row per hot key; NULL matches none
-    few = F.broadcast(side.filter(is_hot))
-    spread = rows.filter(is_hot | column.isNull()).join(few, key, "left")
-    others = rows.filter(~is_hot).join(side.filter(~is_hot), key, "left")
-    return spread.unionByName(others)
+def for_skewed_join(side: DataFrame, rows: DataFrame) -> DataFrame:
+    """`side`, aggregated on the join key, ready to be joined to `rows`."""
+    return materialise(side) if rows.count() >= MIN_ROWS else side
