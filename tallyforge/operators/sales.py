@@ -130,15 +130,13 @@ def product_sales(items: DataFrame, valid: DataFrame) -> DataFrame:
 
 def delivery_difference(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Days from the latest date to ship to the hand-over, per order line: negative
-    is early. Lines without either date are dropped."""
+    is early. Lines without either date, or with a text that is no date, are dropped."""
+    actual = F.col("handed_over_at").try_cast("date").alias("actual_date")
+    expected = F.col("ship_by").try_cast("date").alias("expected_date")
+    handed_over = orders.select("order_id", actual).filter(F.col("actual_date").isNotNull())
+    due = items.select("order_id", "product_id", expected)
     return (
-        orders.select("order_id", F.to_date("handed_over_at").alias("actual_date"))
-        .filter(F.col("actual_date").isNotNull())
-        .join(
-            items.select("order_id", "product_id", F.to_date("ship_by").alias("expected_date"))
-            .filter(F.col("expected_date").isNotNull()),
-            "order_id",
-        )
+        handed_over.join(due.filter(F.col("expected_date").isNotNull()), "order_id")
         .select(
             "order_id", "product_id", "actual_date", "expected_date",
             F.datediff("actual_date", "expected_date").alias("diff_days"),

@@ -15,15 +15,15 @@ NO_LABELS = "Unknown"
 
 
 def parse_fields(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Positional fields cast to `schema`; lines without a comma are dropped and
-    a text that is no number fails the job."""
+    """Positional fields cast to `schema`; lines without a comma are dropped. A text that
+    is no number, or a line that is too short for a field in use, fails the job."""
     parts = F.split("value", ",")
     return (
         lines.filter(F.col("value").contains(","))
         .select(parts.alias("parts"))
         .select(
             *(
-                F.get("parts", F.lit(i)).cast(field.dataType).alias(field.name)
+                F.col("parts")[i].cast(field.dataType).alias(field.name)
                 for i, field in enumerate(schema)
             )
         )

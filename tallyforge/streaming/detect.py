@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyforge import schemas
 from tallyforge.operators.frames import MIN_CONFIDENCE, persons_only
 from tallyforge.sinks.messages import publish_files, to_messages
-from tallyforge.streaming.ingest import UNKNOWN_CAMERA, now, parse_json
+from tallyforge.streaming.ingest import UNKNOWN_CAMERA, now
 
 Detector = Callable[[bytes], list[dict]]
 
@@ -73,15 +73,14 @@ def _calls(load_detector: Callable[[], Detector]):
 
 
 def start_detect(
-    messages: DataFrame,
+    frames: DataFrame,
     load_detector: Callable[[], Detector],
     path: str,
     checkpoint: str,
     min_confidence: float = MIN_CONFIDENCE,
     **trigger: bool | str,
 ) -> StreamingQuery:
-    """Frame messages in, detection messages out, to text files. For a topic, hand
-    `to_messages(detect(..))` to `publish_kafka` instead."""
-    frames = parse_json(messages, schemas.FRAME)
+    """Frames in, from `parse_frames` or `stream_table`; detection messages out, to text
+    files. For a topic, hand `to_messages(detect(..))` to `publish_kafka` instead."""
     results = to_messages(detect(frames, load_detector, min_confidence))
     return publish_files(results, path, checkpoint, **trigger)

@@ -44,6 +44,13 @@ def test_bad_number_fails_the_job(spark):
         bad.collect()
 
 
+def test_short_line_fails_only_where_the_field_is_used(spark):
+    short = parse_fields(lines(spark, "1,a"), schemas.RATINGS)
+    assert rows(short.select("user_id", "item_id")) == [("1", "a")]
+    with pytest.raises(PySparkException, match="INVALID_ARRAY_INDEX"):
+        short.select("rating").collect()
+
+
 def test_item_average_counts_repeats_and_keeps_the_threshold(data):
     stats = ops.with_title(ops.item_average(data["ratings"]), data["items"])
     assert rows(stats) == [("a", 4.3, 5, "The Good, the Bad (1966)")]

@@ -110,10 +110,14 @@ def test_detect(spark, load_stub):
 def test_from_frames_to_tables(spark, run, load_stub):
     write(run.source, "1.json",
           *({"frame_id": f"f{i}", "timestamp": float(i), "camera_id": "c",
-             "frame_b64": picture("5" * i + "1")} for i in range(1, 6)))
+             "frame_b64": picture("5" * i + "1")} for i in range(1, 6)), "{no frame")
+    ingest.start_ingest(
+        stream_lines(spark, str(run.source)), run.path("frames"), run.path("rejects"),
+        run.path("check0"), **ONCE,
+    ).awaitTermination()
     detect.start_detect(
-        stream_lines(spark, str(run.source)), load_stub, run.path("detections"),
-        run.path("check1"), **ONCE,
+        batches.stream_table(spark, run.path("frames"), schemas.FRAME), load_stub,
+        run.path("detections"), run.path("check1"), **ONCE,
     ).awaitTermination()
     store.start_store_messages(
         stream_lines(spark, run.path("detections")), run.path("events"), run.path("boxes"),
@@ -124,6 +128,12 @@ def test_from_frames_to_tables(spark, run, load_stub):
     assert store.read_boxes(spark, run.path("boxes")).count() == 15
 
 
+def test_frames_straight_from_messages(spark, load_stub):
+    messages = lines(spark, json.dumps({"frame_id": "f", "frame_b64": picture("55")}), "{broken")
+    found = detect.detect(ingest.parse_frames(messages), load_stub)
+    assert rows(found.select("frame_id", "camera_id", "person_count")) == [("f", "unknown", 2)]
+
+
 def start(spark, run):
     return store.start_store_messages(
         stream_lines(spark, str(run.source), 1), run.path("events"), run.path("boxes"),
