@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, decontaminate, lattice, pieces, simhash, toxicity
+from tallyforge.llm import chat, decontaminate, lattice, pieces, simhash, spotsigs, toxicity
 from tallyforge.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, folder, "documents"))
+
+
 def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.score(table(spark, folder, "documents"), tokenizer())
 
@@ -79,6 +83,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_spotsigs": op3_spotsigs,
     "op5_lattice": op5_lattice,
     "op6_decontaminate": op6_decontaminate,
     "op7_pieces": op7_pieces,
