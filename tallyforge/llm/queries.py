@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, decontaminate, lattice, pieces, simhash, spotsigs, toxicity
+from tallyforge.llm import chat, decontaminate, lattice, pages, pieces, simhash, spotsigs, toxicity
 from tallyforge.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op3_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.compare_edited(table(spark, folder, "documents"))
 
 
+def op4_pages(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "pages")
+    return pages.extract(rows, pages.train(rows))
+
+
 def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.score(table(spark, folder, "documents"), tokenizer())
 
@@ -84,6 +89,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_spotsigs": op3_spotsigs,
+    "op4_pages": op4_pages,
     "op5_lattice": op5_lattice,
     "op6_decontaminate": op6_decontaminate,
     "op7_pieces": op7_pieces,
