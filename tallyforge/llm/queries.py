@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, decontaminate, lattice, pages, pieces, simhash, spotsigs, toxicity
+from tallyforge.llm import chat, decontaminate, lattice, order, pages, pieces, simhash, spotsigs, toxicity
 from tallyforge.llm.common import table
 
 
@@ -25,6 +25,15 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_order(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    where, shards, n = order.write_shards(docs, order.shard_folder(spark))
+    # Each document with the shard that its first id is in
+    return where.join(shards.select("shard", "n_slots", "crc32"), "shard").withColumn(
+        "n_sequences", F.lit(n)
+    )
+
+
 def op3_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.compare_edited(table(spark, folder, "documents"))
 
@@ -88,6 +97,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_order": op2_order,
     "op3_spotsigs": op3_spotsigs,
     "op4_pages": op4_pages,
     "op5_lattice": op5_lattice,
