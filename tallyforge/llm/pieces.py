@@ -199,87 +199,84 @@ def load(path: str) -> Pieces:
 
 
 class _Store:
-    """Encodings of words, made for all new words of a chunk at once."""
+    """Encodings of words, made for all new words of a chunk at once: the ids, and as bytes
+    the ids in decimals and the decoded text."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.ids: dict[str, list[int]] = {}
+        self.line: dict[str, bytes] = {}
+        self.text: dict[str, bytes] = {}
 
-    def add(self, words: set[str]) -> list[str]:
+    def add(self, texts: list[str]) -> list[list[str]]:
+        """The words of the texts, all of them in store."""
+        split = [self.pieces.split(t) for t in texts]
         if len(self.ids) > KEPT_WORDS:
-            self.ids.clear()
-        new = [w for w in words if w not in self.ids]
-        self.ids.update(zip(new, self.pieces.encode_words(new), strict=True))
-        return new
+            for store in (self.ids, self.line, self.text):
+                store.clear()
+        new = [w for w in {w for words in split for w in words} if w not in self.ids]
+        for word, ids in zip(new, self.pieces.encode_words(new), strict=True):
+            self.ids[word] = ids
+            self.line[word] = ",".join(map(str, ids)).encode()
+            self.text[word] = self.pieces.decode(ids, False).encode()
+        return split
+
+    def decoded(self, words: list[str]) -> bytes:
+        # The first word carries the dummy prefix, which decoding drops again
+        return b"".join([self.text[w] for w in words])[1:]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array of int) and decoded (text) of every row with doc_id and text.
+    """doc_id, n_tokens, ids (array of int) and decoded (text) of every row of `docs`.
 
     Null counts as empty and has no ids; repeated rows and null doc_ids stay as they are,
     further columns are left out.
     """
 
     def start():
-        pieces = load(path)
-        store = _Store(pieces)
+        store = _Store(load(path))
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            split = [pieces.split(t) for t in texts_of(batch)]
-            store.add({w for words in split for w in words})
-            ids = [[i for w in words for i in store.ids[w]] for words in split]
+            split = store.add(texts_of(batch))
+            counts = [sum([len(store.ids[w]) for w in words]) for words in split]
+            ends = np.cumsum([0, *counts]).astype(np.int32)
+            every = (i for words in split for w in words for i in store.ids[w])
+            ids = np.fromiter(every, np.int32, int(ends[-1]))
             return pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").cast(pa.int64()),
-                    pa.array(ids, pa.list_(pa.int32())),
-                    pa.array([pieces.decode(x) for x in ids], pa.string()),
+                    batch.column("doc_id"),
+                    pa.array(counts, pa.int64()),
+                    pa.ListArray.from_arrays(ends, ids),
+                    pa.array([store.decoded(words) for words in split], pa.string()),
                 ],
-                ["doc_id", "ids", "decoded"],
+                ["doc_id", "n_tokens", "ids", "decoded"],
             )
 
         return each
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_chunks(rows, "text", start, "doc_id long, ids array<int>, decoded string")
+    return map_chunks(
+        rows, "text", start, "doc_id long, n_tokens long, ids array<int>, decoded string"
+    )
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """As `encode`, with digests in place of ids and text: doc_id, n_tokens, ids_sha256,
-    decoded_sha256. The encodings of a word are joined and decoded once a task."""
+    decoded_sha256."""
 
     def start():
-        pieces = load(path)
-        store = _Store(pieces)
-        line: dict[str, bytes] = {}
-        text: dict[str, bytes] = {}
+        store = _Store(load(path))
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            split = [pieces.split(t) for t in texts_of(batch)]
-            new = store.add({w for words in split for w in words})
-            if len(store.ids) == len(new):
-                line.clear()
-                text.clear()
-            for w in new:
-                ids = store.ids[w]
-                line[w] = ",".join(map(str, ids)).encode()
-                text[w] = pieces.decode(ids, False).encode()
-            out = []
-            for words in split:
-                # The first word carries the dummy prefix, which decoding drops again
-                out.append(
-                    (
-                        sum([len(store.ids[w]) for w in words]),
-                        hashlib.sha256(b",".join([line[w] for w in words])).hexdigest(),
-                        hashlib.sha256(b"".join([text[w] for w in words])[1:]).hexdigest(),
-                    )
-                )
-            n, ids_sha, decoded_sha = zip(*out, strict=True)
+            split = store.add(texts_of(batch))
+            ids = [hashlib.sha256(b",".join([store.line[w] for w in words])) for words in split]
+            text = [hashlib.sha256(store.decoded(words)) for words in split]
             return pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").cast(pa.int64()),
-                    pa.array(n, pa.int64()),
-                    pa.array(ids_sha, pa.string()),
-                    pa.array(decoded_sha, pa.string()),
+                    batch.column("doc_id"),
+                    pa.array([sum([len(store.ids[w]) for w in words]) for words in split], pa.int64()),
+                    pa.array([x.hexdigest() for x in ids], pa.string()),
+                    pa.array([x.hexdigest() for x in text], pa.string()),
                 ],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )

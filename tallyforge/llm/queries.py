@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, decontaminate, lattice, order, pages, pieces, simhash, spotsigs, toxicity
+from tallyforge.llm import chat, decontaminate, lattice, order, pages, pieces, simhash, spotsigs, suffixes, toxicity
 from tallyforge.llm.common import table
 
 
@@ -67,6 +67,10 @@ def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(table(spark, folder, "documents"), tokenizer())
 
 
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.digests(table(spark, folder, "documents"))
+
+
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit(f"{chat.END}{chat.START}assistant ok")
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lattice": op5_lattice,
     "op6_decontaminate": op6_decontaminate,
     "op7_pieces": op7_pieces,
+    "op8_suffixes": op8_suffixes,
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
 }

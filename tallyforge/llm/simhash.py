@@ -47,7 +47,7 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id and fp (long) of every row.
+    """row (a number), doc_id and fp (long) of every row.
 
     A text is lower-cased in A-Z and cut at ASCII white space; its shingles are `words`
     words joined by a space, repeats included, or the whole sequence if it has fewer; a bit
@@ -58,13 +58,16 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             fps = [fingerprint(t, words) for t in texts_of(batch)]
             return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"]
+                [batch.column("row"), batch.column("doc_id"), pa.array(fps, pa.int64())],
+                ["row", "doc_id", "fp"],
             )
 
         return each
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_chunks(rows, "text", start, "doc_id long, fp long")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text"
+    )
+    return map_chunks(rows, "text", start, "row long, doc_id long, fp long")
 
 
 def _bits(fp: Column, low: int, width: int) -> Column:
@@ -127,32 +130,56 @@ def links(classes: DataFrame, distance: int = 3) -> DataFrame:
     return both.select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable over links), n_same (rows with
-    the fingerprint), one row for each of `docs`.
-
-    Equal fingerprints become one class first, so copies never meet in pairs. Null texts
-    count as empty; a null doc_id keeps its row and takes the component of its fingerprint,
-    which is null if no row there has an id. Repeated rows stay. Empty in, empty out.
-    """
+def _grouped(docs: DataFrame, words: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """row, doc_id, fp of every row; and fp, first (smallest doc_id), n_same, root of every
+    fingerprint. Equal fingerprints are one class, so copies never meet in pairs."""
     fps = kept_table(fingerprints(docs, words), "fingerprints")
     classes = kept_table(
         fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_same")),
         "classes",
     )
     roots = components(links(classes, distance)).withColumnRenamed("node", "fp")
-    rooted = kept_table(
-        classes.join(roots, "fp", "left").select(
-            "fp", "first", "n_same", F.coalesce("root", "fp").alias("root")
-        ),
-        "rooted",
-    )
+    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return fps, kept_table(rooted, "rooted")
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id reachable over links), n_same (rows with
+    the fingerprint), one row for each of `docs`.
+
+    Null texts count as empty; a null doc_id keeps its row and takes the component of its
+    fingerprint, which is null if no row there has an id. Repeated rows stay. Empty in,
+    empty out.
+    """
+    fps, rooted = _grouped(docs, words, distance)
     first = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = kept_table(
-        rooted.join(first, "root").select("fp", "n_same", "component_id"), "named"
-    )
+    named = kept_table(rooted.join(first, "root").select("fp", "n_same", "component_id"), "named")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id", "n_same")
 
 
+def keep_first(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
+    """The row of the smallest doc_id of every component (any one of repeated rows; rows
+    without doc_id only where no other is there), with all columns.
+
+    `docs` must be a table as read, or another frame whose partitions come out the same each
+    time, as its rows are known by their numbers there.
+    """
+    fps, rooted = _grouped(docs, words, distance)
+    placed = kept_table(fps.join(rooted.select("fp", "root"), "fp"), "placed")
+    first = kept_table(
+        placed.groupBy("root").agg(
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias("first")
+        ),
+        "first",
+    )
+    others = placed.join(first, "root").where("row <> first")
+    name = "row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    rest = kept_table(others.select(F.col("row").alias(name)), "others")
+    return numbered.join(rest, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def hexed(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
