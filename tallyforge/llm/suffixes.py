@@ -42,6 +42,9 @@ ROW_BITS = 33
 #: A place and a number of strings in one long.
 COUNT_BITS = 8
 LAST = 2**63 - 1
+NOTES = "part int, row array<long>, {}"
+#: Rows to be scanned: a region's bytes, one string by its digest, a run known to repeat.
+REGION, STRING, KNOWN = 1, 2, 3
 
 
 class Levels:
@@ -129,6 +132,21 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _packed(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Notes as lists, one row for each partition of the documents that they are about."""
+    part = columns["row"] >> ROW_BITS
+    order = np.argsort(part, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0][: len(part)])
+    cuts = np.r_[first, len(part)].astype(np.int32)
+    lists = [
+        pa.ListArray.from_arrays(cuts, pa.array(v[order].astype(np.int64)))
+        for v in columns.values()
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[order][first]).cast(pa.int32()), *lists], ["part", *columns]
+    )
+
+
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What becomes of each anchor, from rows sorted by key, marks first, region and place.
 
@@ -152,15 +170,8 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         what = np.where(marked, HOT, np.where(regions > 1, OPEN, 0))
         what = np.where(own, np.where(new, what, REPEAT), np.where(mark, 0, state))
         keep = what > 0
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(x["row"][keep] >> ROW_BITS).cast(pa.int32()),
-                pa.array(x["row"][keep]),
-                pa.array(x["spot"][keep]),
-                pa.array(key[keep]),
-                pa.array(what[keep].astype(np.int8)),
-            ],
-            ["part", "row", "spot", "key", "what"],
+        return _packed(
+            {"row": x["row"][keep], "spot": x["spot"][keep], "key": key[keep], "what": what[keep]}
         )
 
     for batch in batches:
@@ -203,10 +214,12 @@ class _Notes:
         self.columns = {c: np.zeros(0, np.int64) for c in ("row", *columns)}
         if store.get_file_info(path).type != fs.FileType.NotFound:
             found = dataset.dataset(path, filesystem=store, format="parquet")
-            table = found.to_table(columns=["row", *columns])
+            table = found.to_table(columns=["row", *columns]).combine_chunks()
             self.columns = {
-                c: table.column(c).to_numpy().astype(np.int64) for c in table.column_names
-            }
+                c: pa.concat_arrays([x.flatten() for x in table.column(c).chunks]).to_numpy()
+                for c in table.column_names
+                if len(table)
+            } or self.columns
         order = np.argsort(self.columns["row"], kind="stable")
         self.columns = {c: v[order] for c, v in self.columns.items()}
         self.rows = self.columns["row"]
@@ -244,19 +257,17 @@ def _opened(folder: str):
                         place, n = spot >> COUNT_BITS, spot & ((1 << COUNT_BITS) - 1)
                         line = data[place : place + n - 1 + LENGTH]
                         if what == OPEN:
-                            out.append((key, doc, row, spot, line))
+                            out.append((key, doc, row, spot, REGION, line))
                         else:
                             bytes_.append(line)
                             marks.append((doc, row, place, n))
                 if marks:
                     out += _dealt(bytes_, np.array(marks, np.int64))
                 if out:
+                    *columns, lines = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            *(pa.array(c, pa.int64()) for c in list(zip(*out, strict=True))[:4]),
-                            pa.array([x[4] for x in out], pa.binary()),
-                        ],
-                        ["key", "doc_id", "row", "spot", "line"],
+                        [*(pa.array(c, pa.int64()) for c in columns), pa.array(lines, pa.binary())],
+                        ["key", "doc_id", "row", "spot", "kind", "line"],
                     )
 
     return run
@@ -286,16 +297,35 @@ def _inner(n: np.ndarray) -> np.ndarray:
 
 
 def _dealt(lines: list[bytes], marks: np.ndarray) -> list[tuple]:
-    """The strings of hot regions, by their digests; of equal ones in the chunk the earliest
-    goes on, and the others are written as repeats: without bytes and with a count of 0."""
+    """The strings of hot regions, by their digests: of equal ones in the chunk the earliest
+    goes on alone, the others are known to repeat and go on as runs."""
     doc, row, place, n = marks.T
     digest = _strings(lines, n).view(np.int64)
-    doc, row, at = np.repeat(doc, n), np.repeat(row, n), np.repeat(place, n) + _inner(n)
-    order = np.lexsort((at, doc, digest))
-    digest, doc, row, at = digest[order], doc[order], row[order], at[order]
-    again = np.r_[False, digest[1:] == digest[:-1]]
-    spot = at << COUNT_BITS | np.where(again, 0, 1)
-    return [(*x, None) for x in zip(digest.tolist(), doc.tolist(), row.tolist(), spot.tolist(), strict=True)]
+    region = np.repeat(np.arange(len(n)), n)
+    at = place[region] + _inner(n)
+    order = np.lexsort((at, doc[region], digest))
+    again = np.zeros(len(digest), bool)
+    again[order[1:]] = digest[order[1:]] == digest[order[:-1]]
+    new = ~again
+    out = zip(
+        digest[new].tolist(),
+        doc[region[new]].tolist(),
+        row[region[new]].tolist(),
+        (at[new] << COUNT_BITS | 1).tolist(),
+        strict=True,
+    )
+    known = np.flatnonzero(again)
+    starts = np.r_[True, (np.diff(known) != 1) | (np.diff(region[known]) != 0)][: len(known)]
+    first = np.flatnonzero(starts)
+    size, head = np.diff(np.r_[first, len(known)]), known[first]
+    runs = zip(
+        row[region[head]].tolist(),
+        doc[region[head]].tolist(),
+        row[region[head]].tolist(),
+        (at[head] << COUNT_BITS | size).tolist(),
+        strict=True,
+    )
+    return [*((*x, STRING, None) for x in out), *((*x, KNOWN, None) for x in runs)]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,37 +333,24 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     the levels of the earlier ones. Runs of strings come as one row."""
     levels = Levels()
     for batch in batches:
-        row, spot = batch.column("row").to_numpy(), batch.column("spot").to_numpy()
-        key = batch.column("key").to_numpy()
-        lines = batch.column("line").to_pylist()
-        n = spot & ((1 << COUNT_BITS) - 1)
-        told = n == 0
-        single = np.array([x is None for x in lines], bool) & ~told
-        n = np.where(told, 1, n)
-        place = spot >> COUNT_BITS
-        digest = np.zeros(int(n.sum()), np.uint64)
+        row, spot, key, kind = (
+            batch.column(c).to_numpy() for c in ("row", "spot", "key", "kind")
+        )
+        place, n = spot >> COUNT_BITS, spot & ((1 << COUNT_BITS) - 1)
         of = np.repeat(np.arange(len(n)), n)
-        wide = ~single & ~told
-        if wide.any():
-            digest[wide[of]] = _strings([x for x in lines if x is not None], n[wide])
-        digest[single[of]] = key[single].view(np.uint64)
-        again = np.ones(len(digest), bool)
-        ask = ~told[of]
-        again[ask] = levels.add(digest[ask])
+        digest = np.zeros(len(of), np.uint64)
+        region, string = kind == REGION, kind == STRING
+        lines = [x for x in batch.column("line").to_pylist() if x is not None]
+        digest[region[of]] = _strings(lines, n[region])
+        digest[string[of]] = key[string].view(np.uint64)
+        again = kind[of] == KNOWN
+        again[~again] = levels.add(digest[~again])
         row_of, at = row[of][again], (place[of] + _inner(n))[again]
-        if not len(at):
-            continue
-        new = np.r_[True, (row_of[1:] != row_of[:-1]) | (at[1:] != at[:-1] + 1)]
-        first = np.flatnonzero(new)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(row_of[first] >> ROW_BITS).cast(pa.int32()),
-                pa.array(row_of[first]),
-                pa.array(at[first]),
-                pa.array(np.diff(np.r_[first, len(at)])),
-            ],
-            ["part", "row", "place", "n"],
-        )
+        if len(at):
+            new = np.r_[True, (row_of[1:] != row_of[:-1]) | (at[1:] != at[:-1] + 1)]
+            first = np.flatnonzero(new)
+            size = np.diff(np.r_[first, len(at)])
+            yield _packed({"row": row_of[first], "place": at[first], "n": size})
 
 
 def _write_notes(df: DataFrame, name: str) -> str:
@@ -354,22 +371,23 @@ def repeats(docs: DataFrame) -> tuple[str, str]:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = _numbered(docs)
     shape = "key long, region long, doc_id long, row long, spot long, state tinyint"
-    # A repeat or a hot anchor needs no meeting: dealt by its region
-    meets = F.when(F.col("state").isin(MARK, NORMAL), F.col("key")).otherwise(F.col("region"))
+    # A repeat or a hot anchor needs no meeting: dealt by its document
+    meets = F.when(F.col("state").isin(MARK, NORMAL), F.col("key")).otherwise(F.col("row"))
     judged = (
         numbered.mapInArrow(_find, shape)
         .repartition(parts, meets)
         .sortWithinPartitions("key", F.col("state") != MARK, "region", "doc_id", "spot")
-        .mapInArrow(_judge, "part int, row long, spot long, key long, what tinyint")
+        .mapInArrow(_judge, NOTES.format("spot array<long>, key array<long>, what array<long>"))
     )
     first = _write_notes(judged, "anchors")
     found = (
         numbered.mapInArrow(
-            _opened(first), "key long, doc_id long, row long, spot long, line binary"
+            _opened(first),
+            "key long, doc_id long, row long, spot long, kind long, line binary",
         )
         .repartition(parts, "key")
         .sortWithinPartitions("doc_id", "spot")
-        .mapInArrow(_scan, "part int, row long, place long, n long")
+        .mapInArrow(_scan, NOTES.format("place array<long>, n array<long>"))
     )
     return first, _write_notes(found, "strings")
 
