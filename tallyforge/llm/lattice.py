@@ -1,8 +1,9 @@
 """Subword lattice language model: a text's probability over all segmentations.
 
 The pieces of an existing vocabulary are the units of a unigram model. Their first weights
-come from the vocabulary's own scores; two rounds of expectation counts over the words of
-the training documents make them probabilities. The forward recursion, in log space, adds
+come from the vocabulary's own scores; three rounds of expectation counts over the words of
+the training documents make them probabilities. Each different word counts once there, as
+the pieces are for words that are rare or new. The forward recursion, in log space, adds
 up all ways to cut a word into pieces. In the lattice of a word seen in training, the word
 as a whole is one more unit, with its discounted count; the discounts are the weight of the
 pieces. A text is its words and one end.
@@ -34,7 +35,7 @@ COUNTED_WORDS = 400_000
 KNOWN_WORDS = 200_000
 #: Words of one length in one step of the recursion.
 BATCH = 16_384
-ROUNDS = 2
+ROUNDS = 3
 SLOTS = 20
 #: Expected counts and log probabilities are summed as whole numbers, so that sums don't
 #: depend on the order of the rows.
@@ -250,7 +251,7 @@ def learn(counts: DataFrame, models: int, path: str, rounds: int = ROUNDS) -> np
             lattice = Lattice(pieces, weights)
             total = np.zeros(weights.shape)
             for batch in batches:
-                n = _matrix(batch.column("cs"), models)
+                n = (_matrix(batch.column("cs"), models) > 0).astype(float)
                 total += lattice.expected(batch.column("word").to_pylist(), n)
             k, at = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(

@@ -77,6 +77,8 @@ def _bits(fp: Column, low: int, width: int) -> Column:
 def links(classes: DataFrame, distance: int = 3) -> DataFrame:
     """a, b: distinct fingerprints (column fp) that differ in 1 to `distance` bits; a pair
     may come once for each start of a chain, never in both orders."""
+    if not distance:
+        return classes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     m = distance + 1
     edges = [BITS * i // m for i in range(m + 1)]
     parts = [(edges[i], edges[i + 1] - edges[i]) for i in range(m)]
