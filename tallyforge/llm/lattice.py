@@ -129,7 +129,7 @@ class Lattice:
 
     def batches(self, tokens: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places and code points of words of one length, the space mark in front."""
-        sizes = np.array([len(t) + 1 for t in tokens])
+        sizes = np.array([len(t) + 1 for t in tokens], int)
         order = np.argsort(sizes, kind="stable")
         cuts = np.flatnonzero(np.diff(sizes[order])) + 1
         for same in np.split(order, cuts):
@@ -160,15 +160,15 @@ class Lattice:
         """Expected number of times each piece (and last, a byte) stands in the words, for
         each model; `counts` has one column a model."""
         total = np.zeros(self.weights.shape)
-        for part, codes in self.batches(tokens):
-            edges = self._edges(codes)
-            for k, weights in enumerate(self.weights):
-                n = counts[part, k]
-                if not n.any():
-                    continue
+        for k, weights in enumerate(self.weights):
+            # Most words belong to one model: the others have nothing to count
+            own = np.flatnonzero(counts[:, k])
+            for part, codes in self.batches([tokens[i] for i in own.tolist()]):
+                edges = self._edges(codes)
                 alpha = self._forward(codes, edges, weights)
                 beta = [np.full(len(codes), -np.inf) for _ in range(codes.shape[1])]
                 beta.append(np.zeros(len(codes)))
+                n = counts[own[part], k]
                 for begin, end, rows, at, size in reversed(edges):
                     behind = beta[end][rows] + weights[at] * size
                     beta[begin][rows] = np.logaddexp(beta[begin][rows], behind)
