@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +23,18 @@ def for_camera(events: DataFrame, camera_id: str | None) -> DataFrame:
 
 def persons_only(raw_boxes: Column, min_confidence: float = MIN_CONFIDENCE) -> Column:
     """Boxes of persons at or above the threshold, with whole coordinates and the
-    confidence to four digits."""
+    confidence to four digits. A box beyond whole numbers is dropped."""
+    sides = ("x1", "y1", "x2", "y2")
     kept = F.filter(
         raw_boxes,
-        lambda b: (b["class_id"] == PERSON_CLASS) & (b["confidence"] >= min_confidence),
+        lambda b: (b["class_id"] == PERSON_CLASS)
+        & (b["confidence"] >= min_confidence)
+        & functools.reduce(lambda x, y: x & y, [b[s].try_cast("int").isNotNull() for s in sides]),
     )
     return F.transform(
         kept,
         lambda b: F.struct(
-            *(b[side].cast("int").alias(side) for side in ("x1", "y1", "x2", "y2")),
+            *(b[side].try_cast("int").alias(side) for side in sides),
             F.round(b["confidence"], 4).alias("confidence"),
             F.lit("person").alias("label"),
         ),

@@ -108,7 +108,8 @@ def product_sales(items: DataFrame, valid: DataFrame) -> DataFrame:
     pairs; products without a valid review have NULL there. Best sold first.
 
     Reviews shrink to one row per order first. Each item then carries its order's
-    score total and count, so the pairs are counted but never built.
+    score total and count, so the pairs are counted but never built. The reviews are
+    written out for the join, so that Spark splits an order with very many items.
     """
     per_order = valid.groupBy("order_id").agg(
         F.sum("score").alias("_scores"), F.count("*").alias("_reviews")
@@ -117,7 +118,7 @@ def product_sales(items: DataFrame, valid: DataFrame) -> DataFrame:
     pairs = F.sum(F.when(F.col("product_id").isNotNull(), F.col("_reviews")))
     scores = F.sum(F.when(F.col("product_id").isNotNull(), F.col("_scores")))
     return (
-        sold.join(for_skewed_join(per_order, sold), "order_id", "left")
+        sold.join(for_skewed_join(per_order), "order_id", "left")
         .groupBy("product_id")
         .agg(
             F.count("*").alias("total_sold"),

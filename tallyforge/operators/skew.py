@@ -12,10 +12,8 @@ from pyspark.sql import DataFrame
 
 from tallyforge.session import materialise
 
-# Below this number of rows one task can take them all
-MIN_ROWS = 10_000_000
 
-
-def for_skewed_join(side: DataFrame, rows: DataFrame) -> DataFrame:
-    """`side`, aggregated on the join key, ready to be joined to `rows`."""
-    return materialise(side) if rows.count() >= MIN_ROWS else side
+def for_skewed_join(side: DataFrame) -> DataFrame:
+    """`side`, aggregated on the join key, ready to be joined to rows of any size. It is
+    written at once: a job runs while the plan is built."""
+    return materialise(side)

@@ -10,7 +10,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 STRING, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
-TIMESTAMP = T.TimestampType()
+TIMESTAMP, AMOUNT = T.TimestampType(), T.DecimalType(15, 2)
 
 REVIEWS = _struct(id=STRING, comment=STRING, aspect=STRING, category=STRING, sentiment=STRING)
 
@@ -34,8 +34,8 @@ ORDER_ITEMS_CSV = {
     "Order_ID": ("order_id", STRING),
     "Product_ID": ("product_id", STRING),
     "Seller_ID": ("seller_id", STRING),
-    "Price": ("price", DOUBLE),
-    "Freight_Value": ("freight", DOUBLE),
+    "Price": ("price", AMOUNT),
+    "Freight_Value": ("freight", AMOUNT),
     "Shipping_Limit_Date": ("ship_by", TIMESTAMP),
 }
 PRODUCTS_CSV = {

@@ -29,7 +29,10 @@ def get_session(app: str = "tallyforge", master: str | None = None, **conf: str)
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or _own_folder()
 
 
 @functools.cache

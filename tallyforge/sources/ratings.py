@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from tallyforge import schemas
 from tallyforge.sources.lines import read_lines
 
-# id, then the title up to the last comma, then the labels
-ITEM_LINE = r"^([^,]*),(.*?)(?:,([^,]*))?$"
+# Any character may stand in a title, odd line ends too: id, then the title up to the last comma, then the labels
+ITEM_LINE = r"(?s)^([^,]*),(.*?)(?:,([^,]*))?$"
 NO_LABELS = "Unknown"
 
 

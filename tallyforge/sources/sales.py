@@ -22,13 +22,15 @@ def read_table(
     infer: bool = False,
 ) -> DataFrame:
     """The columns of `layout`, found by header name and cast to its types; a cell
-    that does not fit is NULL. Nothing but the header is read ahead. With `infer`
-    all columns come as Spark infers them, at the price of another pass."""
-    reader = spark.read.option("sep", ";").option("header", True)
+    that does not fit is NULL. Nothing but the header is read ahead; files whose headers
+    differ are an error. With `infer` all columns come, those of `layout` under its names,
+    with the types that Spark infers, at the price of another pass."""
+    reader = spark.read.option("sep", ";").option("header", True).option("enforceSchema", False)
     if multiline:
         reader = reader.option("multiLine", True).option("escape", '"')
     if infer:
-        return reader.option("inferSchema", True).csv(path)
+        table = reader.option("inferSchema", True).csv(path)
+        return table.withColumnsRenamed({header: name for header, (name, _) in layout.items()})
     table = reader.csv(path)
     return table.select(
         *(

@@ -118,3 +118,21 @@ def test_jobs_start_as_a_program():
     shown = subprocess.run([sys.executable, "-m", "tallyforge.jobs", "--help"],
                            capture_output=True, text=True, timeout=120, check=True)
     assert "word-frequency" in shown.stdout
+
+
+def test_tsv_keeps_values(spark, tmp_path):
+    from tallyforge.sinks.files import write_tsv
+
+    df = spark.createDataFrame([("  lead", "a\tb"), ("x\ny", ""), ("q\\t", None)], "k string, v string")
+    write_tsv(df.coalesce(1), str(tmp_path / "out"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert lines == ["  lead\ta\\tb", "x\\ny\t", "q\\\\t\t"]
+
+
+def test_csv_keeps_spaces_and_quotes(spark, tmp_path):
+    from tallyforge.sinks.files import write_csv
+
+    given = [("  a ", 'say "x", y')]
+    write_csv(spark.createDataFrame(given, "k string, v string"), str(tmp_path / "out"))
+    back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "out"))
+    assert [tuple(r) for r in back.collect()] == given

@@ -4,6 +4,7 @@ import pytest
 from helpers import ordered, rows
 from pyspark.sql import functions as F
 
+from tallyforge import schemas
 from tallyforge.operators import sales as ops
 from tallyforge.operators.keyed import first_per_key, insert_if_absent
 from tallyforge.sources import sales as files
@@ -181,3 +182,21 @@ def test_first_wins_and_insert_if_absent(spark):
     target = spark.createDataFrame([("b",), ("b",), ("z",)], "k string")
     new = insert_if_absent(first, target, ["k"])
     assert rows(new.select("k", "v")) == [("a", 1), ("c", 4)]
+
+
+def test_files_with_other_column_order_are_an_error(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("Order_ID;Review_Score\n1;4\n")
+    (tmp_path / "in" / "b.csv").write_text("Review_Score;Order_ID\n5;2\n")
+    layout = {"Order_ID": ("order_id", schemas.STRING), "Review_Score": ("score", schemas.STRING)}
+    with pytest.raises(Exception):
+        files.read_table(spark, str(tmp_path / "in"), layout).collect()
+
+
+def test_sums_of_amounts_do_not_depend_on_the_partitions(spark, tmp_path):
+    lines = "\n".join(f"o{i};p;s;{i % 97}.{i % 10}3;{i % 7}.07;" for i in range(3000))
+    header = "Order_ID;Product_ID;Seller_ID;Price;Freight_Value;Shipping_Limit_Date\n"
+    (tmp_path / "items.csv").write_text(header + lines)
+    items = ops.with_revenue(files.read_order_items(spark, str(tmp_path / "items.csv")))
+    sums = {items.repartition(n).agg({"revenue": "sum"}).first()[0] for n in (1, 3, 8, 17)}
+    assert len(sums) == 1 and str(sums.pop()).rpartition(".")[2].isdigit()
