@@ -313,12 +313,18 @@ def train(pages: DataFrame, rows: int = 200) -> Field:
     """Fit on a bounded sample: at most `rows` pages of up to SAMPLE_CHARS characters, chosen
     by a digest of the page_id, whose markup names an article, each as it is and in two
     other layouts; and two written examples."""
+    whole = pages.where("html is not null and page_id is not null").where(
+        F.char_length("html") <= SAMPLE_CHARS
+    )
+    keys = whole.select("page_id", F.xxhash64("html").alias("digest"))
+    order = [F.xxhash64("page_id"), "page_id", "digest"]
+    # Chosen by keys alone, as each task hands on its first `rows`; equal pages count once
+    chosen = keys.distinct().orderBy(*order).limit(rows)
     sample = (
-        pages.where("html is not null and page_id is not null")
-        .where(F.char_length("html") <= SAMPLE_CHARS)
-        .select("page_id", "html")
-        .orderBy(F.xxhash64("page_id"), "page_id", "html")
-        .limit(rows)
+        whole.select("page_id", F.xxhash64("html").alias("digest"), "html")
+        .join(F.broadcast(chosen), ["page_id", "digest"])
+        .dropDuplicates(["page_id", "digest"])
+        .orderBy(*order)
     )
     examples = []
     choose = random.Random(7)
