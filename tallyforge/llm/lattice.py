@@ -35,6 +35,9 @@ COUNTED_WORDS = 400_000
 KNOWN_WORDS = 200_000
 #: Words of one length in one step of the recursion.
 BATCH = 16_384
+#: Rows and bytes of words that a task takes at once: cut by model and length, the few of one
+#: Arrow batch would leave numpy only short arrays.
+GATHERED_WORDS, GATHERED_BYTES = 1 << 17, 8 << 20
 ROUNDS = 3
 SLOTS = 20
 #: Expected counts and log probabilities are summed as whole numbers, so that sums don't
@@ -233,6 +236,21 @@ def word_counts(docs: DataFrame, names: list[str]) -> DataFrame:
     return rows.groupBy("word").agg(F.array(*sums).alias("cs"))
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together, until they hold GATHERED_WORDS rows or GATHERED_BYTES."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        size += batch.get_total_buffer_size()
+        if rows >= GATHERED_WORDS or size >= GATHERED_BYTES:
+            yield pa.concat_batches(held)
+            held, rows, size = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), width) if len(flat) else np.zeros((0, width))
@@ -250,7 +268,7 @@ def learn(counts: DataFrame, models: int, path: str, rounds: int = ROUNDS) -> np
         def run(batches, weights=weights):
             lattice = Lattice(pieces, weights)
             total = np.zeros(weights.shape)
-            for batch in batches:
+            for batch in gathered(batches):
                 n = (_matrix(batch.column("cs"), models) > 0).astype(float)
                 total += lattice.expected(batch.column("word").to_pylist(), n)
             k, at = np.nonzero(total)
@@ -319,7 +337,7 @@ def score(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFra
 
     def scored(batches):
         lattice = Lattice(pieces, weights)
-        for batch in batches:
+        for batch in gathered(batches):
             seen = _matrix(batch.column("cs"), models)
             cut = lattice.log_probability(batch.column("word").to_pylist()) + np.log(kinds)
             with np.errstate(divide="ignore"):

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyforge.llm import decontaminate, lattice, order, pieces, simhash, spotsigs, suffixes
@@ -270,6 +271,18 @@ def test_forward_recursion_adds_all_segmentations():
         assert model.expected(words, np.ones((len(words), 1)))[0, k] == pytest.approx(slope, abs=1e-4)
 
 
+def test_gathered_batches_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(lattice, "GATHERED_WORDS", 5)
+    cuts = ((0, 2), (2, 2), (2, 9), (9, 10))
+    parts = [pa.record_batch({"word": pa.array([f"w{k}" for k in range(a, b)], pa.string())}) for a, b in cuts]
+    got = list(lattice.gathered(iter(parts)))
+    assert [b.num_rows for b in got] == [9, 1]
+    assert [w for b in got for w in b.column("word").to_pylist()] == [f"w{k}" for k in range(10)]
+    monkeypatch.setattr(lattice, "GATHERED_BYTES", 1)
+    assert sum(b.num_rows for b in lattice.gathered(iter(parts))) == 10
+    assert list(lattice.gathered(iter([]))) == []
+
+
 @pytest.mark.parametrize("known", [5, 100_000])
 def test_scores(docs, known):
     pairs = [*invented(8, 120), *ODD]
