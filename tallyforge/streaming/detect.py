@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyforge import schemas
 from tallyforge.operators.frames import MIN_CONFIDENCE, persons_only
-from tallyforge.sinks.messages import publish_files, to_messages
+from tallyforge.sinks.messages import to_messages
+from tallyforge.streaming.batches import run_batches, write_batch
 from tallyforge.streaming.ingest import UNKNOWN_CAMERA, now
 
 Detector = Callable[[bytes], list[dict]]
@@ -24,19 +26,25 @@ RAW = T.StructType(
         T.StructField("processed_at", T.DoubleType()),
         T.StructField("inference_time", T.DoubleType()),
         T.StructField("raw_boxes", T.ArrayType(schemas.RAW_BOX)),
+        T.StructField("reason", T.StringType()),
     ]
 )
+FAILED = ("frame_id", "timestamp", "camera_id", "reason")
 
+# The detector of this Python worker, by the call of `check_pictures` that it is for
+_loaded: dict[str, Detector] = {}
 
-def detect(
+
+def check_pictures(
     frames: DataFrame,
     load_detector: Callable[[], Detector],
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """One detection result per frame that has a picture.
+    """One detection result per frame that has a picture, with a `reason` if the
+    detector failed on it, else NULL.
 
-    `load_detector` runs once per task and returns a function from picture bytes to
-    objects with x1, y1, x2, y2, confidence and class_id. Only the calls to it run in
+    `load_detector` runs once per Python worker and returns a function from picture bytes
+    to objects with x1, y1, x2, y2, confidence and class_id. Only the calls to it run in
     Python; decoding, filtering and rounding stay in the JVM. Arrow batches are bounded
     by bytes (spark.sql.execution.arrow.maxBytesPerBatch), which suits large pictures.
     """
@@ -44,29 +52,63 @@ def detect(
         F.coalesce("frame_id", F.lit("unknown")).alias("frame_id"),
         F.coalesce("timestamp", now()).alias("timestamp"),
         F.coalesce("camera_id", F.lit(UNKNOWN_CAMERA)).alias("camera_id"),
-        F.unbase64("frame_b64").alias("picture"),
+        # NULL where the text is no base64
+        F.try_to_binary("frame_b64", F.lit("base64")).alias("picture"),
     )
-    raw = pictures.mapInPandas(_calls(load_detector), RAW)
+    raw = pictures.mapInPandas(_calls(load_detector, uuid.uuid4().hex), RAW)
     boxes = persons_only(F.col("raw_boxes"), min_confidence)
     return (
         raw.withColumn("bounding_boxes", boxes)
         .withColumn("person_count", F.size("bounding_boxes"))
-        .select(*schemas.DETECTION.fieldNames())
+        .select(*schemas.DETECTION.fieldNames(), "reason")
     )
 
 
-def _calls(load_detector: Callable[[], Detector]):
+def detected(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reason").isNull()).select(*schemas.DETECTION.fieldNames())
+
+
+def failed(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reason").isNotNull()).select(*FAILED)
+
+
+def detect(
+    frames: DataFrame,
+    load_detector: Callable[[], Detector],
+    min_confidence: float = MIN_CONFIDENCE,
+) -> DataFrame:
+    """The results of `check_pictures` alone, without frames that the detector failed on."""
+    return detected(check_pictures(frames, load_detector, min_confidence))
+
+
+def _detector(key: str, load_detector: Callable[[], Detector]) -> Detector:
+    if key not in _loaded:
+        # One model in memory
+        _loaded.clear()
+        _loaded[key] = load_detector()
+    return _loaded[key]
+
+
+def _calls(load_detector: Callable[[], Detector], key: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        detector = load_detector()
+        detector = _detector(key, load_detector)
         for batch in batches:
-            found, seconds, done = [], [], []
+            found, seconds, done, reasons = [], [], [], []
             for picture in batch["picture"]:
                 start = time.perf_counter()
-                found.append(detector(bytes(picture)))
+                boxes, reason = [], None
+                try:
+                    if picture is None:
+                        raise ValueError("the picture is no base64")
+                    boxes = detector(bytes(picture))
+                except Exception as error:
+                    reason = f"{type(error).__name__}: {error}"
+                found.append(boxes)
+                reasons.append(reason)
                 seconds.append(round(time.perf_counter() - start, 4))
                 done.append(time.time())
             yield batch.drop(columns="picture").assign(
-                processed_at=done, inference_time=seconds, raw_boxes=found
+                processed_at=done, inference_time=seconds, raw_boxes=found, reason=reasons
             )
 
     return run
@@ -76,11 +118,20 @@ def start_detect(
     frames: DataFrame,
     load_detector: Callable[[], Detector],
     path: str,
+    rejects_path: str,
     checkpoint: str,
     min_confidence: float = MIN_CONFIDENCE,
     **trigger: bool | str,
 ) -> StreamingQuery:
     """Frames in, from `parse_frames` or `stream_table`; detection messages out, to text
-    files. For a topic, hand `to_messages(detect(..))` to `publish_kafka` instead."""
-    results = to_messages(detect(frames, load_detector, min_confidence))
-    return publish_files(results, path, checkpoint, **trigger)
+    files in a folder below `path` for each micro-batch (read them as `path/*`); frames that
+    the detector failed on go to a table. A batch written again comes again; the store drops
+    such repeats. For a topic, hand `to_messages(detect(..))` to `publish_kafka` instead."""
+
+    def write(batch: DataFrame, writer: str, batch_id: int) -> None:
+        messages = to_messages(detected(batch))
+        messages.write.mode("overwrite").text(f"{path}/{writer}-{batch_id}")
+        write_batch(failed(batch), rejects_path, writer, batch_id)
+
+    checked = check_pictures(frames, load_detector, min_confidence)
+    return run_batches(checked, write, checkpoint, **trigger)

@@ -117,10 +117,10 @@ def test_from_frames_to_tables(spark, run, load_stub):
     ).awaitTermination()
     detect.start_detect(
         batches.stream_table(spark, run.path("frames"), schemas.FRAME), load_stub,
-        run.path("detections"), run.path("check1"), **ONCE,
+        run.path("detections"), run.path("failed"), run.path("check1"), **ONCE,
     ).awaitTermination()
     store.start_store_messages(
-        stream_lines(spark, run.path("detections")), run.path("events"), run.path("boxes"),
+        stream_lines(spark, run.path("detections") + "/*"), run.path("events"), run.path("boxes"),
         run.path("bad"), run.path("check2"), **ONCE,
     ).awaitTermination()
     events = store.read_events(spark, run.path("events"))
@@ -128,6 +128,37 @@ def test_from_frames_to_tables(spark, run, load_stub):
     assert store.read_boxes(spark, run.path("boxes")).count() == 15
 
 
+def test_a_picture_that_fails_does_not_end_the_stream(spark, run, load_stub):
+    write(run.source, "1.json",
+          *({"frame_id": name, "timestamp": 1.0, "camera_id": "c", "frame_b64": data}
+            for name, data in [("good", picture("5")), ("bad", picture("x")), ("text", "?")]))
+    ingest.start_ingest(
+        stream_lines(spark, str(run.source)), run.path("frames"), run.path("rejects"),
+        run.path("check0"), **ONCE,
+    ).awaitTermination()
+    detect.start_detect(
+        batches.stream_table(spark, run.path("frames"), schemas.FRAME), load_stub,
+        run.path("detections"), run.path("failed"), run.path("check1"), **ONCE,
+    ).awaitTermination()
+    messages = spark.read.text(run.path("detections") + "/*")
+    assert [json.loads(r.value)["frame_id"] for r in messages.collect()] == ["good"]
+    reasons = dict(spark.read.parquet(run.path("failed")).select("frame_id", "reason").collect())
+    assert set(reasons) == {"bad", "text"} and "ValueError" in reasons["bad"]
+
+
+def test_a_worker_loads_a_detector_once(monkeypatch):
+    monkeypatch.setattr(detect, "_loaded", {})
+    loads = []
+
+    def load():
+        loads.append(1)
+        return len
+
+    assert detect._detector("a", load) is detect._detector("a", load) is len
+    detect._detector("b", load)
+    assert len(loads) == 2 and list(detect._loaded) == ["b"]
+
+
 def test_frames_straight_from_messages(spark, load_stub):
     messages = lines(spark, json.dumps({"frame_id": "f", "frame_b64": picture("55")}), "{broken")
     found = detect.detect(ingest.parse_frames(messages), load_stub)
