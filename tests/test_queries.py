@@ -1,4 +1,8 @@
-"""Every registered query against its SQL twin, and what its plan must not hold."""
+"""Every query over the supplied tables against its SQL twin, and what its plan must not hold.
+
+The queries of the training-data operators, most of which no SQL can say, are tested beside
+those operators.
+"""
 
 import math
 
@@ -6,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallyforge import plans
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings"
@@ -32,27 +37,32 @@ def table(columns, found):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert plans.QUERIES.keys() == plans.SQL.keys()
+
+
+def test_every_query_is_registered():
+    assert plans.QUERIES.items() <= entry.queries().items()
+    assert plans.SQL.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.QUERIES))
 def test_against_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
-    twin = duck.execute(entry.oracle_sql()[name])
+    df = plans.QUERIES[name](spark, FOLDER)
+    twin = duck.execute(plans.SQL[name])
     columns = [c[0] for c in twin.description]
     expected = table(columns, twin.fetchall())
     assert table(df.columns, [tuple(row) for row in df.collect()]) == expected
     assert expected[1], "nothing to compare"
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream")))
+@pytest.mark.parametrize("name", sorted(n for n in plans.QUERIES if not n.startswith("stream")))
 def test_plan(spark, conf, name):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    df = entry.queries()[name](spark, FOLDER)
+    df = plans.QUERIES[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "PythonUDF" not in plan
