@@ -228,8 +228,8 @@ def test_crash_between_the_two_writes(spark, run, monkeypatch):
     assert stored(spark, run) == ([("f1", 1), ("f2", 1)], [("f1", 2), ("f2", 1)])
 
 
-def test_large_batches_are_not_broadcast(spark, run, monkeypatch):
-    monkeypatch.setattr(store, "MAX_BROADCAST_FRAMES", 0)
+def test_batches_too_large_to_broadcast(spark, run, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
     test_store_keeps_the_first_of_each_frame(spark, run)
 
 
