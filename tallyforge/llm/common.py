@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyforge.session import shared_folder
 
@@ -26,6 +27,16 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` written once with a further column of row numbers (partition, then place), and
+    its name. All passes that know rows by number read these files: the splits of `docs`
+    itself depend on the cores that are there when a pass is planned."""
+    name = "row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return kept_table(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about CHUNK_BYTES of `column` each; a longer value stands alone."""
     texts = batch.column(column)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import kept_table, map_chunks, texts_of
+from tallyforge.llm.common import kept_table, map_chunks, numbered, texts_of
 from tallyforge.llm.components import components
 
 BITS = 64
@@ -46,8 +46,8 @@ def fingerprint(text: str, words: int = 3) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """row (a number), doc_id and fp (long) of every row.
+def fingerprints(docs: DataFrame, words: int = 3, row: str | None = None) -> DataFrame:
+    """row (the column of that name, or else a number), doc_id and fp (long) of every row.
 
     A text is lower-cased in A-Z and cut at ASCII white space; its shingles are `words`
     words joined by a space, repeats included, or the whole sequence if it has fewer; a bit
@@ -65,7 +65,9 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
         return each
 
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text"
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+        F.col("doc_id").cast("long"),
+        "text",
     )
     return map_chunks(rows, "text", start, "row long, doc_id long, fp long")
 
@@ -132,10 +134,12 @@ def links(classes: DataFrame, distance: int = 3) -> DataFrame:
     return both.select("a", "b")
 
 
-def _grouped(docs: DataFrame, words: int, distance: int) -> tuple[DataFrame, DataFrame]:
+def _grouped(
+    docs: DataFrame, words: int, distance: int, row: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """row, doc_id, fp of every row; and fp, first (smallest doc_id), n_same, root of every
     fingerprint. Equal fingerprints are one class, so copies never meet in pairs."""
-    fps = kept_table(fingerprints(docs, words), "fingerprints")
+    fps = kept_table(fingerprints(docs, words, row), "fingerprints")
     classes = kept_table(
         fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_same")),
         "classes",
@@ -163,10 +167,10 @@ def keep_first(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
     """The row of the smallest doc_id of every component (any one of repeated rows; rows
     without doc_id only where no other is there), with all columns.
 
-    `docs` must be a table as read, or another frame whose partitions come out the same each
-    time, as its rows are known by their numbers there.
+    `docs` is written once with the numbers of its rows, and read from there.
     """
-    fps, rooted = _grouped(docs, words, distance)
+    rows, name = numbered(docs)
+    fps, rooted = _grouped(rows, words, distance, name)
     placed = kept_table(fps.join(rooted.select("fp", "root"), "fp"), "placed")
     first = kept_table(
         placed.groupBy("root").agg(
@@ -175,12 +179,8 @@ def keep_first(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
         "first",
     )
     others = placed.join(first, "root").where("row <> first")
-    name = "row"
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
-    numbered = docs.withColumn(name, F.monotonically_increasing_id())
     rest = kept_table(others.select(F.col("row").alias(name)), "others")
-    return numbered.join(rest, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(rest, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def hexed(fp: Column) -> Column:

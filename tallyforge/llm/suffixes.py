@@ -13,8 +13,9 @@ first (see `anchors`): equal strings have their anchor at the same place.
    equality is asked, arrays are ordered by digest.
 3. What was found for a document is cut out of it.
 
-The texts are read where they lie, three times, and never shuffled: what concerns a document
-is written to the folder of its partition, and read there by the task of that partition.
+The documents are written once with their numbers and read from there three times; texts are
+never shuffled. What concerns a document is written to the folder of its partition when it was
+numbered, and read there by the tasks that come to rows of it, however these are split.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.anchors import LENGTH, Strings, _mixed, pieces
-from tallyforge.llm.common import chunks
+from tallyforge.llm.common import chunks, numbered
 from tallyforge.session import shared_folder
 
 #: What becomes of an anchor's strings: all repeat; to be laid open; the same, for keys with
@@ -75,14 +76,6 @@ class Levels:
         return seen | again
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"),
-        "text",
-    )
-
-
 def _bytes(batch: pa.RecordBatch) -> list[bytes]:
     return [(t or "").encode() for t in batch.column("text").to_pylist()]
 
@@ -233,7 +226,7 @@ def _opened(folder: str):
     """Regions to be laid open, with their bytes; the strings of hot ones by themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        notes = None
+        at = notes = None
         for batch in batches:
             for part in chunks(batch, "text"):
                 out: list[tuple] = []
@@ -244,8 +237,9 @@ def _opened(folder: str):
                     part.column("text").to_pylist(),
                     strict=True,
                 ):
-                    if notes is None:
-                        notes = _Notes(folder, ["spot", "what", "key"], row >> ROW_BITS)
+                    if row >> ROW_BITS != at:
+                        at = row >> ROW_BITS
+                        notes = _Notes(folder, ["spot", "what", "key"], at)
                     note = notes.of(row)
                     open_ = note["what"] >= OPEN
                     if not open_.any():
@@ -361,27 +355,31 @@ def _write_notes(df: DataFrame, name: str) -> str:
     return path
 
 
-def repeats(docs: DataFrame) -> tuple[str, str]:
-    """Folders of the notes on repeated strings in the rows of `docs`, for `cut`.
+def repeats(docs: DataFrame, row: str) -> tuple[str, str]:
+    """Folders of the notes on repeated strings in the rows of `docs`, for `cut`; the column
+    `row` has their numbers, as `numbered` writes them.
 
-    `docs` must be a table as read, or another frame whose partitions come out the same each
-    time. The earlier of two equal strings is the one with the smaller doc_id (null last),
+    The earlier of two equal strings is the one with the smaller doc_id (null last),
     or the smaller start in rows of the same doc_id.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = _numbered(docs)
+    rows = docs.select(
+        F.col(row).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"),
+        "text",
+    )
     shape = "key long, region long, doc_id long, row long, spot long, state tinyint"
     # A repeat or a hot anchor needs no meeting: dealt by its document
     meets = F.when(F.col("state").isin(MARK, NORMAL), F.col("key")).otherwise(F.col("row"))
     judged = (
-        numbered.mapInArrow(_find, shape)
+        rows.mapInArrow(_find, shape)
         .repartition(parts, meets)
         .sortWithinPartitions("key", F.col("state") != MARK, "region", "doc_id", "spot")
         .mapInArrow(_judge, NOTES.format("spot array<long>, key array<long>, what array<long>"))
     )
     first = _write_notes(judged, "anchors")
     found = (
-        numbered.mapInArrow(
+        rows.mapInArrow(
             _opened(first),
             "key long, doc_id long, row long, spot long, kind long, line binary",
         )
@@ -416,20 +414,22 @@ def kept(data: bytes, gone: list[tuple[int, int]]) -> bytes:
 
 
 def _cutter(folders: tuple[str, str], each):
-    """`each` takes a batch and the removed runs of its rows, known by the column row."""
+    """`each` takes a batch and the removed runs of its rows, known by the last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        notes = None
+        at = notes = None
         for batch in batches:
             for part in chunks(batch, "text"):
-                rows = part.column(part.num_columns - 1).to_pylist()
-                if notes is None and rows:
-                    at = rows[0] >> ROW_BITS
-                    notes = (
-                        _Notes(folders[0], ["spot", "what"], at),
-                        _Notes(folders[1], ["place", "n"], at),
-                    )
-                yield each(part, [spans([x.of(r) for x in notes]) for r in rows])
+                gone = []
+                for row in part.column(part.num_columns - 1).to_pylist():
+                    if row >> ROW_BITS != at:
+                        at = row >> ROW_BITS
+                        notes = (
+                            _Notes(folders[0], ["spot", "what"], at),
+                            _Notes(folders[1], ["place", "n"], at),
+                        )
+                    gone.append(spans([x.of(row) for x in notes]))
+                yield each(part, gone)
 
     return run
 
@@ -437,7 +437,8 @@ def _cutter(folders: tuple[str, str], each):
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row for each of `docs`. Null
     texts count as empty."""
-    folders = repeats(docs)
+    rows, row = numbered(docs.select(F.col("doc_id").cast("long"), "text"))
+    folders = repeats(rows, row)
 
     def each(batch: pa.RecordBatch, gone: list[list[tuple[int, int]]]) -> pa.RecordBatch:
         data = _bytes(batch)
@@ -453,7 +454,6 @@ def digests(docs: DataFrame) -> DataFrame:
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
         )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id())
     return rows.mapInArrow(
         _cutter(folders, each),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
@@ -464,7 +464,8 @@ def cut(docs: DataFrame) -> DataFrame:
     """`docs` without the repeats in their texts (and n_chars, if there, counted anew). Where
     a cut goes through a character, its remaining bytes go too; rows of which nothing is left
     but white space stay out, if anything was cut from them."""
-    folders = repeats(docs)
+    rows, row = numbered(docs)
+    folders = repeats(rows, row)
     schema = docs.schema
 
     def each(batch: pa.RecordBatch, gone: list[list[tuple[int, int]]]) -> pa.RecordBatch:
@@ -485,5 +486,4 @@ def cut(docs: DataFrame) -> DataFrame:
             out = out.set_column(at, "n_chars", pa.array(counts, old.type))
         return out.filter(pa.array(keep, pa.bool_()))
 
-    rows = docs.select("*", F.monotonically_increasing_id())
     return rows.mapInArrow(_cutter(folders, each), schema)

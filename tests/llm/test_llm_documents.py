@@ -136,6 +136,17 @@ def test_columns_of_other_names_stay(docs):
     assert decontaminate.clean(odd, bench).columns == odd.columns
 
 
+def test_keep_first_when_splits_change_between_the_passes(docs, conf):
+    pairs = invented(40, 120, 30)
+    df = docs([*pairs, *((i + 1000, t) for i, t in pairs)], 8)
+    conf(spark__sql__files__openCostInBytes="0")
+    one = simhash.keep_first(df)
+    conf(spark__sql__files__openCostInBytes="4194304")
+    got = sorted(r.doc_id for r in one.collect())
+    prints = [(i, plain_fingerprint(t)) for i, t in pairs]
+    assert got == sorted(set(plain_components(prints).values()))
+
+
 # Training order
 
 
@@ -451,6 +462,17 @@ def test_repeats_odd_rows_and_nothing(docs):
     assert suffixes.cut(docs([])).count() == 0
 
 
+def test_repeats_when_splits_change_between_the_passes(docs, conf):
+    pairs = invented(41, 80, 10)
+    df = docs(pairs, 8)
+    conf(spark__sql__files__openCostInBytes="0")
+    one, other = suffixes.digests(df), suffixes.cut(df)
+    conf(spark__sql__files__openCostInBytes="4194304")
+    assert rows_of(one) == plain_repeats(pairs)
+    left = {r[0]: r[4] for r in plain_repeats(pairs)}
+    assert {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in other.collect()}.items() <= left.items()
+
+
 def test_cut_leaves_text_and_drops_empty_rest(docs):
     long = "é" * 7 + "".join(random.Random(32).choices("abcdef é", k=300))
     got = {r.doc_id: r for r in suffixes.cut(docs([(1, long), (2, long), (3, "own " + long + " own"), (4, None), (5, "")])).collect()}
