@@ -19,11 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def kept_table(df: DataFrame, name: str) -> DataFrame:
+def kept_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and go on from the files, so that what follows
     neither computes it again nor depends on the executors that made it."""
     path = f"{shared_folder(df.sparkSession)}/tallyforge-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

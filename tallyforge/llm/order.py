@@ -7,8 +7,10 @@ a Feistel network over the next power of four, walked along its cycle until it i
 Slots are dealt out in ranges; each range is one shard, a file in which slot s stands at
 byte (s - first) * stride. So a reader goes through files in sequence, and starts anywhere.
 
-The vocabulary is the 256 bytes of UTF-8: ids 0 to 253 where text is well formed, 254 ends a
-document, 255 fills the last sequence of a partition; both never occur in UTF-8.
+An id takes 1, 2 or 4 bytes, little end first (uint8, uint16, uint32). The largest id but one
+of that width ends a document, the largest fills the last sequence of a partition; neither may
+stand in a document. Ids come from a tokenizer, as arrays or packed in bytes; or a text is
+taken by its bytes of UTF-8, one each, where 254 and 255 never occur.
 """
 
 from __future__ import annotations
@@ -23,8 +25,17 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import chunks, kept_table
 
-END, FILL = b"\xfe", b"\xff"
 ROUNDS = 6
+#: Ids that are turned into bytes at once.
+CHUNK_IDS = 1 << 20
+
+
+def marks(width: int) -> tuple[int, int]:
+    """The ids that end a document and fill a sequence."""
+    if width not in (1, 2, 4):
+        raise ValueError(f"an id takes 1, 2 or 4 bytes, not {width}")
+    top = (1 << 8 * width) - 1
+    return top - 1, top
 
 
 def _rounds(key: int) -> list[np.uint64]:
@@ -60,19 +71,63 @@ def permute(index: np.ndarray, n: int, key: int, back: bool = False) -> np.ndarr
     return out.astype(np.int64)
 
 
-def _sized(docs: DataFrame) -> DataFrame:
-    """Rows with their number of ids and their partition; the texts stay in the JVM."""
+def _sized(docs: DataFrame, column: str, width: int) -> DataFrame:
+    """Rows with their number of ids and their partition; the ids stay in the JVM."""
+    if _kind(docs, column) == "array":
+        n = F.coalesce(F.array_size(column), F.lit(0))
+    else:
+        n = (F.coalesce(F.octet_length(column), F.lit(0)) / width).cast("long")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("n_ids"),
+        (n + 1).cast("long").alias("n_ids"),
         F.spark_partition_id().alias("part"),
     )
 
 
+def _kind(docs: DataFrame, column: str) -> str:
+    return docs.schema[column].dataType.typeName()
+
+
+def _lines(batch: pa.RecordBatch, kind: str, width: int) -> Iterator[bytes]:
+    """The ids of the first column as bytes, an end mark behind each row, in bounded parts."""
+    end, _ = marks(width)
+    mark = end.to_bytes(width, "little")
+    if kind != "array":
+        for piece in chunks(batch, batch.schema.names[0]):
+            ids = [x or b"" for x in piece.column(0).cast(pa.binary()).to_pylist()]
+            if kind == "binary":
+                _check(np.frombuffer(b"".join(ids), f"<u{width}"), width)
+                if any(len(x) % width for x in ids):
+                    raise ValueError(f"packed ids must take {width} bytes each")
+            yield b"".join([x for line in ids for x in (line, mark)])
+        return
+    sizes = batch.column(0).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // CHUNK_IDS)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
+        ids = batch.column(0).slice(a, b - a).flatten()
+        values = ids.to_numpy(zero_copy_only=False)
+        _check(np.array([-1]) if ids.null_count else values, width)
+        ends = np.cumsum(sizes[a:b], dtype=np.int64)
+        yield np.insert(values.astype(f"<u{width}"), ends, end).tobytes()
+
+
+def _check(ids: np.ndarray, width: int) -> None:
+    end, _ = marks(width)
+    if len(ids) and (ids.min() < 0 or ids.max() >= end):
+        raise ValueError(f"ids must be 0 to {end - 1} to be kept in {width} bytes")
+
+
 def write_shards(
-    docs: DataFrame, folder: str, length: int = 2048, per_shard: int = 8192, key: int = 20_240
+    docs: DataFrame,
+    folder: str,
+    length: int = 2048,
+    per_shard: int = 8192,
+    key: int = 20_240,
+    column: str = "text",
+    width: int = 1,
 ) -> tuple[DataFrame, DataFrame, int]:
-    """Write the shards below `folder`, which all executors must reach; give back where the
+    """Write the ids in `column` (an array of ids that fit `width` bytes, or binary with such
+    ids packed, little end first, or a text, whose bytes are its ids at width 1) to shards below `folder`, which all executors must reach; give back where the
     documents lie, what shards there are, and the number of sequences.
 
     First: doc_id, n_ids (with the end mark), sequence and place (of its first id), slot,
@@ -81,12 +136,15 @@ def write_shards(
 
     Documents are numbered in the order of `docs`, which must be a table as read, or another
     frame whose partitions come out the same each time: that is checked, and an error if
-    not. One pass counts, a second one sends each id once to the task of its shard. Null
-    texts count as empty (an end mark alone); null and repeated doc_ids stay as they are. A
+    not. One pass counts, a second one sends each id once to the task of its shard, a third one
+    places the documents. Null texts and arrays count as empty (an end mark alone); null and repeated doc_ids stay as they are. A
     shard that is written again, as after a lost executor, is the same file.
     """
     spark = docs.sparkSession
-    counts = _sized(docs).groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
+    kind, stride, filler = _kind(docs, column), length * width, marks(width)[1]
+    if kind not in ("array", "binary") and width != 1:
+        raise ValueError("the bytes of a text are ids of one byte")
+    counts = _sized(docs, column, width).groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
     ids = {r.part: r.n for r in counts}
     first, total = {}, 0
     for part in sorted(ids):
@@ -97,20 +155,21 @@ def write_shards(
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, at, seen, part = b"", None, 0, None
         for batch in batches:
-            for piece in chunks(batch, "text"):
-                if part is None and len(piece):
-                    part = piece.column("part")[0].as_py()
-                    at = place.value[1][part]
-                texts = piece.column("text").to_pylist()
-                line = rest + b"".join([x for t in texts for x in ((t or "").encode(), END)])
-                seen += len(line) - len(rest)
-                whole = len(line) // length
-                rest = line[whole * length :]
+            if not len(batch):
+                continue
+            if part is None:
+                part = batch.column("part")[0].as_py()
+                at = place.value[1][part]
+            for new in _lines(batch, kind, width):
+                seen += len(new) // width
+                line = rest + new
+                whole = len(line) // stride
+                rest = line[whole * stride :]
                 if whole:
-                    yield rows(at, [line[i * length : (i + 1) * length] for i in range(whole)])
+                    yield rows(at, [line[i * stride : (i + 1) * stride] for i in range(whole)])
                     at += whole
         if rest:
-            yield rows(at, [rest.ljust(length, FILL)])
+            yield rows(at, [rest + filler.to_bytes(width, "little") * (length - len(rest) // width)])
         if part is not None and seen != place.value[0][part]:
             raise RuntimeError("the partitions of the documents changed between two passes")
 
@@ -136,7 +195,7 @@ def write_shards(
             if n != want:
                 raise RuntimeError(f"shard {now} has {n} sequences in place of {want}")
             store.move(f"{path}/.{name(now)}", f"{path}/{name(now)}")
-            done.append((now, now * per_shard, n, n * length, crc))
+            done.append((now, now * per_shard, n, n * stride, crc))
 
         for batch in batches:
             for shard, slot, line in zip(
@@ -161,7 +220,7 @@ def write_shards(
         )
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select("text", F.spark_partition_id().alias("part")).mapInArrow(
+    packed = docs.select(column, F.spark_partition_id().alias("part")).mapInArrow(
         pack, "shard long, slot long, ids binary"
     )
     shards = kept_table(
@@ -172,13 +231,16 @@ def write_shards(
     )
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = None
+        at = part = None
+        seen = 0
         for batch in batches:
             n = batch.column("n_ids").to_numpy()
             if not len(n):
                 continue
             if at is None:
-                at = place.value[1][batch.column("part")[0].as_py()] * length
+                part = batch.column("part")[0].as_py()
+                at = place.value[1][part] * length
+            seen += int(n.sum())
             starts = at + np.cumsum(n) - n
             at += int(n.sum())
             sequence, inner = starts // length, starts % length
@@ -189,13 +251,21 @@ def write_shards(
                     batch.column("n_ids"),
                     *map(
                         pa.array,
-                        (sequence, inner, slots, slots // per_shard, slots % per_shard * length + inner),
+                        (
+                            sequence,
+                            inner,
+                            slots,
+                            slots // per_shard,
+                            (slots % per_shard * length + inner) * width,
+                        ),
                     ),
                 ],
                 ["doc_id", "n_ids", "sequence", "place", "slot", "shard", "offset"],
             )
+        if part is not None and seen != place.value[0][part]:
+            raise RuntimeError("the partitions of the documents changed between two passes")
 
-    where = _sized(docs).mapInArrow(
+    where = _sized(docs, column, width).mapInArrow(
         locate,
         "doc_id long, n_ids long, sequence long, place long, slot long, shard long, offset long",
     )
@@ -207,7 +277,7 @@ def name(shard: int) -> str:
 
 
 def read_slots(
-    folder: str, begin: int, end: int, length: int = 2048, per_shard: int = 8192
+    folder: str, begin: int, end: int, length: int = 2048, per_shard: int = 8192, width: int = 1
 ) -> Iterator[np.ndarray]:
     """Sequences of the slots from `begin` to `end` (excluded), file after file: a run that
     stopped goes on from the slot it had come to."""
@@ -217,18 +287,24 @@ def read_slots(
     while begin < end:
         shard = begin // per_shard
         with store.open_input_file(f"{path}/{name(shard)}") as file:
-            file.seek(begin % per_shard * length)
+            file.seek(begin % per_shard * length * width)
             for _ in range(min(end, (shard + 1) * per_shard) - begin):
-                yield np.frombuffer(file.read(length), np.uint8)
+                yield np.frombuffer(file.read(length * width), f"<u{width}")
                 begin += 1
 
 
 def read_sequences(
-    folder: str, sequences: np.ndarray, n: int, key: int = 20_240, length: int = 2048, per_shard: int = 8192
+    folder: str,
+    sequences: np.ndarray,
+    n: int,
+    key: int = 20_240,
+    length: int = 2048,
+    per_shard: int = 8192,
+    width: int = 1,
 ) -> Iterator[np.ndarray]:
     """Sequences by their number before the permutation."""
     for slot in permute(sequences, n, key).tolist():
-        yield from read_slots(folder, slot, slot + 1, length, per_shard)
+        yield from read_slots(folder, slot, slot + 1, length, per_shard, width)
 
 
 def shard_folder(spark: SparkSession) -> str:

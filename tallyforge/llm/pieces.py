@@ -260,6 +260,49 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+class _Packed:
+    """Encodings of words as bytes, `width` for each id; made and kept as in `_Store`."""
+
+    def __init__(self, pieces: Pieces, width: int):
+        self.pieces, self.width = pieces, width
+        self.ids: dict[str, bytes] = {}
+
+    def add(self, texts: list[str]) -> list[list[str]]:
+        """The words of the texts, all of them in store."""
+        split = [self.pieces.split(t) for t in texts]
+        if len(self.ids) > KEPT_WORDS:
+            self.ids.clear()
+        new = [w for w in {w for words in split for w in words} if w not in self.ids]
+        lists = self.pieces.encode_words(new)
+        flat = np.fromiter((i for ids in lists for i in ids), np.int64)
+        if len(flat) and flat.max() >> 8 * self.width:
+            raise ValueError(f"the model has ids that {self.width} bytes don't hold")
+        line, at = flat.astype(f"<u{self.width}").tobytes(), 0
+        for word, ids in zip(new, lists, strict=True):
+            self.ids[word] = line[at : (at := at + len(ids) * self.width)]
+        return split
+
+
+def packed(docs: DataFrame, path: str, width: int = 2) -> DataFrame:
+    """As `encode`, with the ids as bytes (`width` for each, little end first) and no decoded
+    text: doc_id, ids (binary)."""
+
+    def start():
+        store = _Packed(load(path), width)
+
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            split = store.add(texts_of(batch))
+            ids = [b"".join(map(store.ids.__getitem__, words)) for words in split]
+            return pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
+            )
+
+        return each
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return map_chunks(rows, "text", start, "doc_id long, ids binary")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """As `encode`, with digests in place of ids and text: doc_id, n_tokens, ids_sha256,
     decoded_sha256."""

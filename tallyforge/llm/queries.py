@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm import chat, decontaminate, lattice, order, pages, pieces, simhash, spotsigs, suffixes, toxicity
-from tallyforge.llm.common import table
+from tallyforge.llm.common import kept_table, table
 
 
 def tokenizer(name: str = "piece_bpe_32k.model") -> str:
@@ -26,8 +26,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_order(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    where, shards, n = order.write_shards(docs, order.shard_folder(spark))
+    ids = pieces.packed(table(spark, folder, "documents"), tokenizer(), 2)
+    ids = kept_table(ids, "ids", "zstd")
+    # All ids of the 32k pieces fit two bytes
+    where, shards, n = order.write_shards(ids, order.shard_folder(spark), column="ids", width=2)
     # Each document with the shard that its first id is in
     return where.join(shards.select("shard", "n_slots", "crc32"), "shard").withColumn(
         "n_sequences", F.lit(n)

@@ -185,6 +185,65 @@ def test_shards_hold_every_document(docs, tmp_path):
     assert all((a == b).all() for a, b in zip(later, read[70:], strict=True))
 
 
+def sharded(rows, folder, n, width):
+    """(doc_id, ids with the end mark) as the shards hold them."""
+    out = []
+    for r in rows:
+        k = -(-(r.place + r.n_ids) // 64)
+        ids = np.arange(r.sequence, r.sequence + k)
+        line = np.concatenate(list(order.read_sequences(str(folder), ids, n, length=64, per_shard=50, width=width)))
+        data = (folder / order.name(r.shard)).read_bytes()
+        assert int.from_bytes(data[r.offset : r.offset + width], "little") == line[r.place]
+        out.append((r.doc_id, line[r.place : r.place + r.n_ids].tolist()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("width", [2, 4])
+def test_shards_hold_the_ids_of_a_tokenizer(spark, docs, tmp_path, monkeypatch, width):
+    import corpus_pipeline
+    import sentencepiece
+    from tallyforge.llm.common import kept_table
+
+    monkeypatch.setattr(order, "CHUNK_IDS", 100)
+    model = sentencepiece.SentencePieceProcessor(model_file=tokenizer())
+    pairs = [*invented(3, 80), *ODD]
+    encoded = kept_table(corpus_pipeline.encoded(spark, docs(pairs, 3), ""), "encoded")
+    where, shards, n = order.write_shards(
+        encoded, str(tmp_path), length=64, per_shard=50, column="ids", width=width
+    )
+    assert sum(r.n_bytes for r in shards.collect()) == n * 64 * width
+    want = [(i, [*model.encode(t or ""), 2 ** (8 * width) - 2]) for i, t in pairs]
+    assert sharded(where.collect(), tmp_path, n, width) == sorted(want, key=repr)
+    again = kept_table(pieces.packed(docs(pairs, 3), tokenizer(), width), "packed")
+    where, _, n = order.write_shards(
+        again, str(tmp_path / "packed"), length=64, per_shard=50, column="ids", width=width
+    )
+    assert sharded(where.collect(), tmp_path / "packed", n, width) == sorted(want, key=repr)
+
+
+def test_order_counts_the_ids_of_a_tokenizer(spark, docs, tmp_path):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=tokenizer())
+    pairs = [*invented(3, 40), *ODD]
+    docs(pairs).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(((r.doc_id, r.n_ids) for r in QUERIES["op2_order"](spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted(((i, len(model.encode(t or "")) + 1) for i, t in pairs), key=repr)
+
+
+@pytest.mark.parametrize("ids", [[1, 65534], [-1], [3, None]])
+def test_ids_that_do_not_fit_are_an_error(frame, tmp_path, ids):
+    df = frame([(1, ids)], "doc_id long, ids array<int>", tmp_path / "t")
+    with pytest.raises(Exception, match="must be 0 to 65533"):
+        order.write_shards(df, str(tmp_path / "shards"), length=64, column="ids", width=2)
+
+
+def test_ids_of_nothing(frame, tmp_path):
+    df = frame([(1, None), (2, [])], "doc_id long, ids array<int>", tmp_path / "t")
+    where, _, _ = order.write_shards(df, str(tmp_path / "s"), 64, column="ids", width=2)
+    assert sorted((r.doc_id, r.n_ids) for r in where.collect()) == [(1, 1), (2, 1)]
+
+
 def test_shards_of_nothing(docs, tmp_path):
     where, shards, n = order.write_shards(docs([]), str(tmp_path))
     assert (where.count(), shards.count(), n) == (0, 0, 0)
