@@ -36,7 +36,7 @@ class Automaton:
     """All word runs of some items, and for those of `window` words (or of a whole item
     that has fewer) the numbers of the items that hold them."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -55,8 +55,8 @@ class Automaton:
             up = self.link[s]
             if self.length[s] >= window:
                 self.base[s] = s if self.length[up] < window else self.base[up]
-        self.holders: dict[int, set[int]] = {}
-        whole: dict[int, list[tuple[int, int]]] = {}
+        self.holders: dict[int, set[int | None]] = {}
+        whole: dict[int, list[tuple[int, int | None]]] = {}
         self.least = window
         for item, ids in runs:
             state = 0
@@ -68,7 +68,7 @@ class Automaton:
                 whole.setdefault(state, []).append((len(ids), item))
                 self.least = min(self.least, len(ids))
         #: Whole short items that end where a match ends: their length and number.
-        self.short: dict[int, list[tuple[int, int]]] = {}
+        self.short: dict[int, list[tuple[int, int | None]]] = {}
         if whole:
             for s in order[1:]:
                 if found := self.short.get(self.link[s], []) + whole.get(s, []):
@@ -132,10 +132,10 @@ class Automaton:
                     if fit:
                         yield i + 1 - max(fit), i + 1, size, state
 
-    def found(self, tokens: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def found(self, tokens: list[bytes]) -> tuple[list[tuple[int, int]], set[int | None]]:
         """Merged spans of hit words, and the items they come from."""
         spans: list[tuple[int, int]] = []
-        items: set[int] = set()
+        items: set[int | None] = set()
         for begin, end, size, state in self.matches(tokens):
             if size >= self.window:
                 items |= self.holders[self.base[state]]
@@ -157,10 +157,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def automata(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Automaton]:
     """One automaton after the other over blocks of items; an item of more words than a
     block is cut into parts that overlap by a window less one word. Items come one
-    partition at a time, so the driver holds a block and not the benchmark."""
-    block: list[tuple[int, list[bytes]]] = []
+    partition at a time, so the driver holds a block and not the benchmark. Items without an
+    id hit words like any other; they share the number None."""
+    block: list[tuple[int | None, list[bytes]]] = []
     size = 0
-    rows = benchmark.where("item_id is not null and text is not null")
+    rows = benchmark.where("text is not null")
     for row in rows.select(F.col("item_id").cast("long"), "text").toLocalIterator():
         tokens = words(row.text)
         for at in range(0, max(1, len(tokens) - window + 1), block_words):
@@ -177,7 +178,8 @@ def mark(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
 ) -> tuple[DataFrame, str]:
     """All rows and columns of `docs` and a further one, whose name is returned too: a
-    struct of n_words, spans (begin, end in words, end excluded) and items.
+    struct of n_words, spans (begin, end in words, end excluded) and items (a null behind the
+    others stands for all items without an id).
 
     Each block of the benchmark is broadcast in its turn (its size is bounded) and passes
     over all documents; between blocks the rows are written out. Null texts have no words;
@@ -219,7 +221,7 @@ def _marker(broadcast, name: str, kind):
                     {
                         "n_words": len(tokens),
                         "spans": [{"begin": b, "end": e} for b, e in spans],
-                        "items": sorted(items),
+                        "items": sorted(items, key=lambda i: (i is None, i or 0)),
                     }
                 )
             return batch.set_column(

@@ -418,6 +418,27 @@ def test_hits_match_plain_python(spark, docs, block):
     assert sorted(got, key=repr) == sorted([(i, *plain_hits(t, items)) for i, t in pairs], key=repr)
 
 
+@pytest.mark.parametrize("block", [5, 200_000])
+def test_items_without_an_id_hit_as_in_the_sql(spark, docs, tmp_path, monkeypatch, block):
+    import duckdb
+    from tallyforge.llm.queries import SQL
+
+    line = lambda k: " ".join(f"{k}{c}" for c in "abcdefghijkl")
+    items = [(None, line("x")), (None, line("y")), (None, "q r s"), (3, line("z")), (4, line("x")), (5, None)]
+    texts = [line("x"), f"own {line('y')} {line('x')} own", "o q r s o", line("z"), f"{line('y')} {line('z')}", "own"]
+    docs([*enumerate(texts)]).write.parquet(str(tmp_path / "documents.parquet"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    monkeypatch.setattr(decontaminate.mark, "__defaults__", (10, block))
+    got = rows_of(QUERIES["op6_decontaminate"](spark, str(tmp_path)))
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert got == sorted(db.execute(SQL["op6_decontaminate"]).fetchall(), key=repr)
+    assert [r[5] for r in got] == [True] * 5 + [False]
+    assert [r.doc_id for r in decontaminate.clean(docs([(1, texts[2]), (2, line("y"))]), bench).collect()] == [1]
+
+
 def test_clean_cuts_passages_and_leaves_the_rest(spark, docs):
     item = "one two three four five six seven eight nine ten eleven"
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
