@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import map_chunks
 
-#: Comments, elements whose content is no text, declarations, tags.
+#: Comments, elements whose content is no text, declarations, tags. A raw element without an
+#: end goes on to the body or the end of the page, as in a browser; no other one does.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|title|template|noscript|svg|iframe|object|math|canvas|head(?=[\s>]))\b"
+    r"|<(?P<raw>script|style|title)\b(?!\s*/>)"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|(?=<body[\s>])|\Z)"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -35,13 +36,23 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark"
     " picture q ruby rp rt s samp small source span strike strong sub sup time tt u var wbr".split()
 )
+#: Formulas stand in the line, with all that is in them.
+INLINE |= frozenset(
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo"
+    " mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup"
+    " mtable mtd mtext mtr munder munderover semantics".split()
+)
+#: Elements that may stand in a paragraph and don't end it.
+EMBEDDED = frozenset("svg iframe object canvas noscript template".split())
+#: Elements that '/>' leaves empty, as what is in svg.
+CLOSED = frozenset("svg script style title".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 #: What a start tag of the same kind closes.
 CLOSES = {t: {t} for t in ("li", "option", "tr")} | {
     t: g for g in ({"td", "th"}, {"dt", "dd"}) for t in g
-}
+} | {"body": {"head"}}
 #: Words in class, id and role that tell what a part of a page is for.
 KINDS = {
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs toc tabs pager pagination skip",
@@ -78,7 +89,9 @@ class Block:
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks with text, in page order. Character references are decoded and white
-    space becomes one space; br counts as white space; unclosed tags end with the parent."""
+    space becomes one space; br counts as white space; unclosed tags end with the parent.
+    Only scripts, styles and titles are no text; what stands in svg, object, canvas, iframe,
+    noscript, template or head is a block with that ancestor, and formulas are in the line."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     now: Block | None = None
@@ -125,7 +138,9 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in VOID:
             continue
-        if stack and stack[-1][0] == "p":
+        if m["attrs"].endswith("/") and (tag in CLOSED or any(t == "svg" for t, _ in stack)):
+            continue
+        if stack and stack[-1][0] == "p" and tag not in EMBEDDED:
             stack.pop()
         if stack and stack[-1][0] in CLOSES.get(tag, ()):
             stack.pop()

@@ -218,3 +218,31 @@ def test_queries_equal_their_sql(spark, name):
     want = con.sql(SQL[name])
     got = QUERIES[name](spark, SMALL).select(*want.columns)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
+RAW = "svg iframe object math canvas noscript template head"
+
+
+@pytest.mark.parametrize("tag", RAW.split())
+@pytest.mark.parametrize("form", ["<{0} id=x>", "<{0} id='x' />", "<{0}/>", "<{0}>inner words</{0}>"])
+def test_no_element_swallows_the_page(tag, form):
+    page = f"<body><article><p>Before it. {form.format(tag)} Behind it.</p><p>The last one.</p></article></body>"
+    text = " ".join(b.text for b in pages.blocks(page))
+    inner = "inner words " if "inner" in form else ""
+    assert text == f"Before it. {inner}Behind it. The last one."
+    assert all(any(t == "article" for t, _ in b.path) for b in pages.blocks(page))
+
+
+def test_only_scripts_styles_and_titles_are_no_text():
+    for tag in ("script", "style", "title"):
+        assert [b.text for b in pages.blocks(f"<p>One</p><{tag}>no <p> text</{tag}><p>Two</p>")] == ["One", "Two"]
+        assert [b.text for b in pages.blocks(f"<p>One</p><{tag}>no <p>text")] == ["One"]
+    drawing = "<p>One</p><svg><title/><style/><g/><path d='M0'/><text>label</text></svg><p>Two</p>"
+    assert [b.text for b in pages.blocks(drawing)] == ["One", "label", "Two"]
+    head = "<html><head><title>T</title><meta charset=x><body><p>One</p>"
+    assert [(b.text, [t for t, _ in b.path]) for b in pages.blocks(head)] == [("One", ["html", "body", "p"])]
+
+
+def test_a_formula_stays_in_its_paragraph():
+    page = "<p>Where <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> holds.</p>"
+    assert [b.text for b in pages.blocks(page)] == ["Where x=2 holds."]
