@@ -324,10 +324,11 @@ EXAMPLES = (
 )
 
 
-def train(pages: DataFrame, rows: int = 200) -> Field:
+def train(pages: DataFrame, rows: int = 200, stretch: int = 60) -> Field:
     """Fit on a bounded sample: at most `rows` pages of up to SAMPLE_CHARS characters, chosen
     by a digest of the page_id, whose markup names an article, each as it is and in two
-    other layouts; and two written examples."""
+    other layouts; and two written examples. All blocks of a page are trained on, in stretches of
+    up to `stretch` blocks, each a chain by itself."""
     whole = pages.where("html is not null and page_id is not null").where(
         F.char_length("html") <= SAMPLE_CHARS
     )
@@ -354,8 +355,9 @@ def train(pages: DataFrame, rows: int = 200) -> Field:
             continue
         for ways in range(3):
             page, marks = (found, labels) if not ways else varied(found, labels, choose)
-            # Long pages by their start: a stretch of blocks is a chain as well
-            examples.append((features(page)[:60], marks[:60]))
+            names = features(page)
+            for at in range(0, len(names), stretch):
+                examples.append((names[at : at + stretch], marks[at : at + stretch]))
     return fit(examples)
 
 

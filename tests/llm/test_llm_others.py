@@ -246,3 +246,18 @@ def test_only_scripts_styles_and_titles_are_no_text():
 def test_a_formula_stays_in_its_paragraph():
     page = "<p>Where <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> holds.</p>"
     assert [b.text for b in pages.blocks(page)] == ["Where x=2 holds."]
+
+
+@pytest.mark.parametrize("stretch", [60, 7])
+def test_training_takes_all_blocks_of_a_long_page(frame, tmp_path, monkeypatch, stretch):
+    lines = "".join(f"<p>Line {i} of a long article.</p>" for i in range(150))
+    page = f"<body><article>{lines}</article><footer><p>&copy; The owners</p></footer></body>"
+    df = frame([(1, "u", page)], "page_id long, url string, html string", tmp_path / "p")
+    seen = []
+    monkeypatch.setattr(pages, "fit", seen.extend)
+    pages.train(df, stretch=stretch)
+    assert max(len(names) for names, _ in seen) == stretch
+    assert all(len(names) == len(labels) for names, labels in seen)
+    own = seen[: -(-151 // stretch)]
+    assert [x for names, _ in own for x in names] == pages.features(pages.blocks(page))
+    assert [x for _, labels in own for x in labels] == [1] * 150 + [0]
