@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.session import shared_folder
 
@@ -56,7 +57,7 @@ def map_chunks(
     df: DataFrame,
     column: str,
     start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-    schema: str,
+    schema: str | T.StructType,
 ) -> DataFrame:
     """`df` through a function of record batches; `start` makes the function, once a task.
 

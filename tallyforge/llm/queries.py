@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, decontaminate, lattice, order, pages, pieces, simhash, spotsigs, suffixes, toxicity
+from tallyforge.llm import (
+    chat,
+    decontaminate,
+    infill,
+    lattice,
+    order,
+    pages,
+    pieces,
+    simhash,
+    spotsigs,
+    suffixes,
+    toxicity,
+)
 from tallyforge.llm.common import kept_table, table
 
 
@@ -101,6 +113,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op11_infill(spark: SparkSession, folder: str) -> DataFrame:
+    found = infill.restore(infill.transform(table(spark, folder, "documents")))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_order": op2_order,
@@ -112,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
+    "op11_infill": op11_infill,
 }
 SQL: dict[str, str] = {
     "op6_decontaminate": r"""
@@ -167,5 +193,35 @@ SELECT conv_id, count(*) AS n_turns,
     THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END) AS bigint) AS formatted_chars,
   true AS round_trip
 FROM turns GROUP BY conv_id
+""",
+    "op11_infill": r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS varchar), '')) AS h FROM documents
+), drawn AS (
+  SELECT doc_id, text, u, CAST(len(u) AS bigint) AS n,
+    CAST('0x' || h[1:8] AS bigint) % (len(u) + 1) AS a,
+    CAST('0x' || h[9:16] AS bigint) % (len(u) + 1) AS b,
+    CAST('0x' || h[17:24] AS bigint) % 100 AS h3, CAST('0x' || h[25:32] AS bigint) % 100 AS h4
+  FROM cut
+), parts AS (
+  SELECT doc_id, text, n,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+      OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+      WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1 : least(a, b)], '') AS prefix,
+    array_to_string(u[least(a, b) + 1 : greatest(a, b)], '') AS middle,
+    array_to_string(u[greatest(a, b) + 1 :], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
 """,
 }
