@@ -16,6 +16,7 @@ from tallyforge.llm import (
     pages,
     pieces,
     simhash,
+    spelling,
     spotsigs,
     suffixes,
     toxicity,
@@ -126,6 +127,11 @@ def op11_infill(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.words(table(spark, folder, "documents"), slips=97)
+    return spelling.variants(spelling.vocabulary(found))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_order": op2_order,
@@ -138,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
     "op11_infill": op11_infill,
+    "op13_spelling": op13_spelling,
 }
 SQL: dict[str, str] = {
     "op6_decontaminate": r"""
