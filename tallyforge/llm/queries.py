@@ -14,6 +14,7 @@ from tallyforge.llm import (
     lattice,
     order,
     pages,
+    personal,
     pieces,
     simhash,
     spelling,
@@ -127,6 +128,18 @@ def op11_infill(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_personal(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = personal.spans(docs, personal.train(docs))
+    base = F.filter("spans", lambda s: s.base)
+    return found.select(
+        "doc_id",
+        *(personal.count(base, kind).alias(f"n_{kind}") for kind in personal.KINDS),
+        F.sha2(personal.line(base), 256).alias("base_sha256"),
+        personal.line(F.col("spans")).alias("spans"),
+    )
+
+
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     found = spelling.words(table(spark, folder, "documents"), slips=97)
     return spelling.variants(spelling.vocabulary(found))
@@ -144,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
     "op11_infill": op11_infill,
+    "op12_personal": op12_personal,
     "op13_spelling": op13_spelling,
 }
 SQL: dict[str, str] = {
