@@ -11,6 +11,8 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,15 +23,25 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import map_chunks
 
 #: Comments, elements whose content is no text, declarations, tags. A raw element without an
-#: end goes on to the body or the end of the page, as in a browser; no other one does.
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|title)\b(?!\s*/>)"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|(?=<body[\s>])|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.IGNORECASE | re.DOTALL,
-)
+#: end goes on to the body or the end of the page, as in a browser; no other one does. In a tag
+#: a quote counts only behind an equals sign, and only with its fellow; any other is a
+#: character like the rest. No part is tried a second time, so time is linear in the page.
+def _markup(inner: str) -> re.Pattern:
+    return re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        rf"|<(?P<raw>script|style|title)\b(?!\s*+/>){inner}>.*?"
+        r"(?:</(?P=raw)\s*+>|(?=<body[\s>])|\Z)"
+        r"|<[!?][^>]*+(?:>|\Z)"
+        rf"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attrs>{inner})>"
+        r"|(?P<open><(?=/?[a-z]))",
+        re.IGNORECASE | re.DOTALL,
+    )
+
+
+MARKUP = _markup(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+""")
+#: For what follows a tag that quotes keep open to the end of the page: there quotes don't count,
+#: and a tag ends before the next one.
+UNQUOTED = _markup("[^<>]*+")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 PARTS = re.compile(r"[a-z]+")
 INLINE = frozenset(
@@ -77,11 +89,40 @@ TAGS = {
 SAMPLE_CHARS = 50_000
 
 
+class Path:
+    """An element below others, with what they all are for: a chain that elements share, so that
+    a page of any depth takes memory in proportion to its tags."""
+
+    __slots__ = ("above", "tag", "kinds", "seen", "main", "other")
+
+    def __init__(self, above: Path | None, tag: str, kinds: tuple[str, ...] = ()):
+        self.above, self.tag, self.kinds = above, tag, kinds
+        own = {TAGS[tag], *kinds} if tag in TAGS else set(kinds)
+        before = above.seen if above else frozenset()
+        self.seen = before if own <= before else before | own
+        self.main = bool(above and above.main) or tag in ("article", "main")
+        self.other = bool(self.seen - {"main"})
+
+    def __iter__(self) -> Iterator[tuple[str, tuple[str, ...]]]:
+        chain, at = [], self
+        while at:
+            chain.append((at.tag, at.kinds))
+            at = at.above
+        return reversed(chain)
+
+
+def path_of(elements: Iterable[tuple[str, tuple[str, ...]]]) -> Path | None:
+    out = None
+    for tag, kinds in elements:
+        out = Path(out, tag, kinds)
+    return out
+
+
 @dataclass
 class Block:
-    """Text of a leaf block, its ancestors as (tag, kinds), characters inside links."""
+    """Text of a leaf block, its ancestors, characters inside links."""
 
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    path: Path | None
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
@@ -93,16 +134,17 @@ def blocks(page: str) -> list[Block]:
     Only scripts, styles and titles are no text; what stands in svg, object, canvas, iframe,
     noscript, template or head is a block with that ancestor, and formulas are in the line."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    here: Path | None = None
+    opened: Counter[str] = Counter()
     now: Block | None = None
-    links = at = 0
+    links = 0
 
     def add(raw: str) -> None:
         nonlocal now
         if now is None:
             if not raw.strip():
                 return
-            now = Block(tuple(stack))
+            now = Block(here)
         now.parts.append(raw)
         if links:
             now.linked += len(raw)
@@ -115,11 +157,15 @@ def blocks(page: str) -> list[Block]:
                 out.append(now)
             now = None
 
-    for m in MARKUP.finditer(page):
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        if m["tag"] is None:
+    def up() -> None:
+        nonlocal here
+        opened[here.tag] -= 1
+        here = here.above
+
+    for text, m in _tokens(page):
+        if text:
+            add(text)
+        if m is None or m["tag"] is None:
             continue
         tag = m["tag"].lower()
         if tag in INLINE:
@@ -132,34 +178,55 @@ def blocks(page: str) -> list[Block]:
         close()
         links = 0
         if m["end"]:
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if opened[tag] > 0:
+                while here.tag != tag:
+                    up()
+                up()
             continue
         if tag in VOID:
             continue
-        if m["attrs"].endswith("/") and (tag in CLOSED or any(t == "svg" for t, _ in stack)):
+        if m["attrs"].endswith("/") and (tag in CLOSED or opened["svg"] > 0):
             continue
-        if stack and stack[-1][0] == "p" and tag not in EMBEDDED:
-            stack.pop()
-        if stack and stack[-1][0] in CLOSES.get(tag, ()):
-            stack.pop()
+        if here and here.tag == "p" and tag not in EMBEDDED:
+            up()
+        if here and here.tag in CLOSES.get(tag, ()):
+            up()
         kinds = ()
         if m["attrs"]:
             named = " ".join("".join(x) for x in NAMED.findall(m["attrs"])).lower()
             kinds = tuple({KIND[w] for w in PARTS.findall(named) if w in KIND})
-        stack.append((tag, kinds))
-    add(page[at:])
+        here = Path(here, tag, kinds)
+        opened[tag] += 1
     close()
     return out
 
 
+def _tokens(page: str) -> Iterator[tuple[str, re.Match | None]]:
+    """Text and the markup behind it, to the end of the page."""
+    at, pattern = 0, MARKUP
+    while True:
+        for m in pattern.finditer(page, at):
+            if m["open"]:
+                if pattern is MARKUP:
+                    # Its quotes hold all that follows
+                    pattern = UNQUOTED
+                    yield page[at : m.start()], None
+                    at = m.start()
+                    break
+                continue
+            yield page[at : m.start()], m
+            at = m.end()
+        else:
+            yield page[at:], None
+            return
+
+
 def features(found: list[Block]) -> list[list[str]]:
     """Names of the features of each block of a page."""
     out = []
     for i, b in enumerate(found):
-        kinds = {TAGS[t] for t, _ in b.path if t in TAGS} | {k for _, ks in b.path for k in ks}
-        last = next((t for t, _ in reversed(b.path)), "")
+        kinds = b.path.seen if b.path else frozenset()
+        last = b.path.tag if b.path else ""
         words = b.text.count(" ") + 1
         link = b.linked / max(1, len(b.text))
         names = ["bias", f"tag:{last}", f"words:{min(6, words.bit_length())}"]
@@ -278,13 +345,10 @@ SIDE_WAYS = [
 def labelled(found: list[Block]) -> list[int] | None:
     """Labels of a page whose own markup names its article: blocks inside it and inside no
     part for another purpose. None where no article is named."""
-    main = [any(t in ("article", "main") for t, _ in b.path) for b in found]
-    if not any(main):
+    paths = [b.path for b in found]
+    if not any(p and p.main for p in paths):
         return None
-    return [
-        int(m and not any(TAGS.get(t, "main") != "main" or set(k) - {"main"} for t, k in b.path))
-        for m, b in zip(main, found, strict=True)
-    ]
+    return [int(bool(p) and p.main and not p.other) for p in paths]
 
 
 def varied(found: list[Block], labels: list[int], choose: random.Random) -> tuple[list[Block], list[int]]:
@@ -294,22 +358,23 @@ def varied(found: list[Block], labels: list[int], choose: random.Random) -> tupl
     side: dict[tuple, list] = {}
     rows = []
     for b, label in zip(found, labels, strict=True):
-        own = b.path[-1:] if b.path and b.path[-1][0] not in TAGS and not b.path[-1][1] else ()
+        chain = tuple(b.path or ())
+        own = chain[-1:] if chain and chain[-1][0] not in TAGS and not chain[-1][1] else ()
         if label:
             path = [("html", ()), ("body", ()), *way, *own]
         else:
-            path = [("html", ()), ("body", ()), *side.setdefault(b.path, choose.choice(SIDE_WAYS)), *own]
-        rows.append((Block(tuple(path), linked=b.linked, text=b.text), label))
+            path = [("html", ()), ("body", ()), *side.setdefault(chain, choose.choice(SIDE_WAYS)), *own]
+        rows.append((Block(path_of(path), linked=b.linked, text=b.text), label))
     main = [r for r in rows if r[1]]
     rest = [r for r in rows if not r[1]]
     for b, _ in choose.sample(rest, min(len(rest), 2)):
         inside = [("html", ()), ("body", ()), *way, *choose.choice(SIDE_WAYS), ("p", ())]
-        rows.insert(choose.randrange(len(rows) + 1), (Block(tuple(inside), linked=b.linked, text=b.text), 0))
+        rows.insert(choose.randrange(len(rows) + 1), (Block(path_of(inside), linked=b.linked, text=b.text), 0))
     # What others write reads like the article: there only the markup tells
     if main and choose.random() < 0.7:
         inside = [("html", ()), ("body", ()), *choose.choice([way, []]), *choose.choice(SIDE_WAYS), ("p", ())]
         for b, _ in choose.sample(main, min(len(main), 2)):
-            rows.append((Block(tuple(inside), linked=0, text=b.text), 0))
+            rows.append((Block(path_of(inside), linked=0, text=b.text), 0))
     return [b for b, _ in rows], [label for _, label in rows]
 
 
@@ -369,7 +434,9 @@ def main_text(page: str | None, chain: Field) -> str:
 
 def extract(pages: DataFrame, chain: Field) -> DataFrame:
     """page_id, url, text, n_chars, one row for each of `pages`. Null pages count as empty;
-    a page without main text has an empty one."""
+    a page without main text has an empty one. Repeated rows and null ids stay as they are, an
+    empty table gives no rows, further columns are left out. Time and memory are linear in a
+    page, however its tags are broken or nested."""
 
     def start():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -204,7 +204,7 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, docs, tmp_path):
 
 
 def test_every_query_runs_and_names_match():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(SQL) <= set(QUERIES)
 
 
@@ -261,3 +261,41 @@ def test_training_takes_all_blocks_of_a_long_page(frame, tmp_path, monkeypatch,
     own = seen[: -(-151 // stretch)]
     assert [x for names, _ in own for x in names] == pages.features(pages.blocks(page))
     assert [x for _, labels in own for x in labels] == [1] * 150 + [0]
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<article><p title=it's>Hello don't stop</p><p>More</p></article>", ["Hello don't stop", "More"]),
+        ('<p class="a>Hello one</p>', ["Hello one"]),
+        ('<p a="x>y">One</p><p b=\'"\'>Two</p>', ["One", "Two"]),
+        ("<p data = 'a>b' c>One", ["One"]),
+        ("<p>One</p><!-- a note", ["One"]),
+        ("<p>5 <x and more", ["5 <x and more"]),
+        ("<p>One</p><p a='<p>Two</p><p>Three</p>", ["One", "Two", "Three"]),
+    ],
+)
+def test_quotes_in_tags(page, texts):
+    assert [b.text for b in pages.blocks(page)] == texts
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<p " * 350_000, "<a b='" * 170_000, "<p " * 350_000 + ">", "<a b='" * 170_001 + ">'", "<a " * 300_000 + "='>'",
+     "<div>" * 100_000 + "</x>" * 100_000, "<!" * 500_000, "<!--" * 250_000, "<title" * 150_000, "=" * 1_000_000,
+     "<p class=" + "'" * 1_000_000 + ">x", "<p " + "class='" * 100_000 + ">x"],
+)
+def test_broken_pages_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    pages.features(pages.blocks(page))
+    # A second where the machine is slow; quadratic time would be hours
+    assert time.process_time() - start < 5
+
+
+def test_deep_pages(chain):
+    page = "<article>" + "<div><p>Some words here.</p>" * 20_000
+    found = pages.blocks(page)
+    assert len(found) == 20_000 and len(list(found[-1].path)) == 20_002
+    assert pages.main_text(page, chain).count("Some words") == 20_000
