@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +96,39 @@ def recent(
     )
 
 
+def newest(
+    parts: Iterable[DataFrame], result: Callable[[DataFrame], DataFrame], need: int
+) -> DataFrame:
+    """`result` of the first of `parts` that gives it `need` rows, else of the last. The parts
+    hold the latest rows of a table, each more than the one before, up to all of them; what
+    is wanted must not change as older rows join, once there are so many."""
+    out = None
+    for rows in parts:
+        out = result(rows)
+        if out.limit(need).count() >= need:
+            break
+    return out
+
+
+def newest_timeseries(
+    parts: Iterable[DataFrame],
+    interval: str = "minute",
+    limit: int = LATEST_BUCKETS,
+    camera_id: str | None = None,
+) -> DataFrame:
+    """`timeseries` from the newest parts of a table. One bucket more than wanted must be there:
+    the oldest of a part may go on in older rows."""
+    more = newest(parts, lambda rows: timeseries(rows, interval, limit + 1, camera_id), limit + 1)
+    return more.orderBy(F.desc("bucket")).limit(limit)
+
+
+def newest_recent(
+    parts: Iterable[DataFrame], limit: int = LATEST_EVENTS, camera_id: str | None = None
+) -> DataFrame:
+    """`recent` from the newest parts of a table."""
+    return newest(parts, lambda rows: recent(rows, limit, camera_id), limit)
+
+
 def frame_boxes(boxes: DataFrame, events: DataFrame, frame_id: str | None = None) -> DataFrame:
     """Boxes of stored events, of one frame if given. A frame is stored once, so this
     only tests whether it is."""

@@ -15,10 +15,15 @@ def money(name: str) -> Column:
     return F.col(name).cast("decimal(15,2)")
 
 
+#: Tables of fewer splits than this (about a gigabyte) are small.
+SMALL_SPLITS = 8
+
+
 def spread(df: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """A table, straight from its files, that gives fewer splits than there are cores is
-    dealt out to all of them, which pays for work like tokenising. Larger tables stay as
-    they are. For a stream, `files` is the table that it reads."""
+    """A small table, straight from its files, that gives fewer splits than there are cores is
+    dealt out to them, which pays for work like tokenising. Tables of SMALL_SPLITS splits
+    and more stay as they are, however many cores there are. For a stream, `files` is the table
+    that it reads."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = (df if files is None else files).rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(cores) if splits < min(cores, SMALL_SPLITS) else df

@@ -83,3 +83,13 @@ DETECTION_EVENTS = _struct(
 STORED_EVENTS = T.StructType([*DETECTION_EVENTS, T.StructField("event_date", T.DateType())])
 
 BOUNDING_BOXES = _struct(frame_id=STRING, x1=INT, y1=INT, x2=INT, y2=INT, confidence=DOUBLE)
+
+# Statistics as stored, with the day of the minute as folder
+STORED_MINUTES = _struct(
+    minute=TIMESTAMP,
+    camera_id=STRING,
+    avg_persons=DOUBLE,
+    max_persons=INT,
+    frame_count=LONG,
+    day=T.DateType(),
+)

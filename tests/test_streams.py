@@ -12,7 +12,7 @@ from tallyforge import schemas
 from tallyforge.operators import frames
 from tallyforge.sinks.messages import to_messages
 from tallyforge.sources.messages import stream_kafka, stream_lines
-from tallyforge.streaming import batches, detect, ingest, stats, store
+from tallyforge.streaming import batches, detect, ingest, segments, stats, store
 
 ONCE = {"availableNow": True}
 BOX = {"x1": 1, "y1": 2, "x2": 3, "y2": 4, "confidence": 0.9, "label": "person"}
@@ -165,10 +165,10 @@ def test_frames_straight_from_messages(spark, load_stub):
     assert rows(found.select("frame_id", "camera_id", "person_count")) == [("f", "unknown", 2)]
 
 
-def start(spark, run):
+def start(spark, run, merge=8, check="check"):
     return store.start_store_messages(
         stream_lines(spark, str(run.source), 1), run.path("events"), run.path("boxes"),
-        run.path("bad"), run.path("check"), **ONCE,
+        run.path("bad"), run.path(check), merge, **ONCE,
     )
 
 
@@ -212,18 +212,21 @@ def test_replay_after_losing_the_commit(spark, run):
 
 def test_crash_between_the_two_writes(spark, run, monkeypatch):
     write(run.source, "1.json", detection("f1", boxes=2), detection("f2"))
-    real = store.write_batch
+    real = segments.append
 
-    def fails(df, path, *rest, **more):
-        if path.endswith("events"):
+    def fails(table, *rest):
+        if table.path.endswith("events"):
             raise RuntimeError("lost")
-        real(df, path, *rest, **more)
+        return real(table, *rest)
 
-    monkeypatch.setattr(store, "write_batch", fails)
+    monkeypatch.setattr(segments, "append", fails)
     with pytest.raises(Exception, match="lost"):
         start(spark, run).awaitTermination()
     assert stored(spark, run)[0] == []
-    monkeypatch.setattr(store, "write_batch", real)
+    # The boxes are there, but of no event that is
+    assert store.read_boxes(spark, run.path("boxes")).count() == 3
+    assert store.read_boxes(spark, run.path("boxes"), run.path("events")).count() == 0
+    monkeypatch.setattr(segments, "append", real)
     start(spark, run).awaitTermination()
     assert stored(spark, run) == ([("f1", 1), ("f2", 1)], [("f1", 2), ("f2", 1)])
 
@@ -249,8 +252,7 @@ def test_lookback_and_days(spark, run):
     assert rows(events.groupBy("frame_id").count()) == [("new", 1), ("old", 2)]
     recent = store.read_events(spark, run.path("events"), dt.date(1970, 1, 11))
     assert rows(recent.select("frame_id")) == [("new",), ("old",)]
-    plan = recent.select("frame_id")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert all("event_date=1970-01-1" in file for file in recent.inputFiles())
 
 
 def test_stream_deduplication(spark, run):
@@ -323,3 +325,224 @@ def test_empty_tables(spark, run):
         (0, 0, None, None, None)
     ]
     assert store.read_boxes(spark, run.path("none")).agg(F.count("*")).first()[0] == 0
+
+
+def many(spark, run, n, merge=3):
+    """So many batches, each with two frames of its own and one that the batch before had."""
+    for i in range(n):
+        name = f"{i % 10}-{i:03d}.json"
+        write(run.source, name, detection(f"f{i:03d}", 86_400.0 * (i % 3) + 1, boxes=2),
+              detection(f"g{i:03d}", 5.0), detection(f"f{i - 1:03d}", 7.0, persons=9, boxes=4))
+        os.utime(run.source / name, (1_700_000_000 + i,) * 2)
+    start(spark, run, merge).awaitTermination()
+
+
+def test_repeats_across_batches_read_no_event_folder(spark, run, monkeypatch):
+    reads = []
+    real = segments._read
+    monkeypatch.setattr(segments, "_read", lambda *a: reads.append(a[1].path) or real(*a))
+    parts = segments._read_parts
+    monkeypatch.setattr(segments, "_read_parts", lambda *a: reads.append(a[1].path) or parts(*a))
+    many(spark, run, 6, merge=0)
+    assert reads == []
+    events, boxes = stored(spark, run)
+    # The very first message is about a frame that no batch had before
+    assert len(events) == 13 and all(n == 1 for f, n in events if f != "f-01")
+    assert dict(boxes)["f003"] == 2
+    query = start(spark, run, 0)
+    query.awaitTermination()
+    assert stored(spark, run) == (events, boxes)
+
+
+def test_state_is_ids_in_rocksdb(spark, run):
+    write(run.source, "1.json", detection("f1", boxes=5), detection("f1"), detection("f2"))
+    query = start(spark, run)
+    query.awaitTermination()
+    state = query.recentProgress[0].stateOperators[0]
+    assert state.operatorName == "dedupe" and state.numRowsTotal == 2
+    assert any("rocksdb" in name for name in state.customMetrics)
+    # Sessions keep their own setting
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != batches.ROCKSDB
+
+
+def test_another_checkpoint_stores_no_frame_again(spark, run):
+    write(run.source, "1.json", detection("f1", boxes=2), detection("f2"))
+    start(spark, run).awaitTermination()
+    write(run.source, "2.json", detection("f2", persons=7), detection("f3", persons=3))
+    start(spark, run, check="other").awaitTermination()
+    assert stored(spark, run)[0] == [("f1", 1), ("f2", 1), ("f3", 3)]
+
+
+def test_files_stay_few_after_many_batches(spark, run):
+    many(spark, run, 50, merge=4)
+    version = segments.current(spark, run.path("events"))
+    by_level = {}
+    for s in version.segments:
+        by_level.setdefault(s.level, []).append(s)
+    assert max(by_level) == 2 and all(len(own) < 4 for own in by_level.values())
+    files = store.read_events(spark, run.path("events")).inputFiles()
+    assert len(files) <= 9 * 3
+    events, boxes = stored(spark, run)
+    assert len(events) == 101 and sum(n for _, n in boxes) == 50 * 3 + 4
+    folders = [f for f in os.listdir(run.path("events")) if f.startswith("segment=")]
+    assert len(folders) <= len(version.segments) + 4
+    assert len(os.listdir(run.path("events") + "/_versions")) <= 2 * 3
+    # A frame is in one folder of each segment
+    found = store.boxes_of_frame(spark, run.path("boxes"), run.path("events"), "f007")
+    assert found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan
+    large = [s for s in segments.current(spark, run.path("boxes")).segments if s.level]
+    assert all(s.buckets == segments.FACTOR**s.level for s in large)
+
+
+def test_crash_in_the_switch_leaves_the_old_version(spark, run, monkeypatch):
+    many(spark, run, 3, merge=0)
+    before = stored(spark, run)
+    table = store.events_table(run.path("events"))
+    version = segments.current(spark, table.path)
+    monkeypatch.setattr(segments, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        segments.merge(spark, table, 3)
+    monkeypatch.undo()
+    assert segments.current(spark, table.path) == version and stored(spark, run) == before
+    # A version file that was cut off counts for nothing
+    with open(f"{table.path}/_versions/{version.number + 1:012d}.json", "w") as file:
+        file.write('{"segments": [')
+    assert segments.current(spark, table.path) == version
+    merged = segments.merge(spark, table, 3)
+    assert [s.level for s in merged.segments] == [1] and stored(spark, run) == before
+    old = segments.read(spark, table, version=version)
+    assert old.count() == len(before[0])
+    segments.clean(spark, table, 1)
+    assert stored(spark, run) == before
+
+
+def test_two_writers_of_one_version(spark, run):
+    many(spark, run, 1)
+    table = store.events_table(run.path("events"))
+    version = segments.current(spark, table.path)
+    segments.publish(spark, table.path, version)
+    with pytest.raises(RuntimeError, match="another writer"):
+        segments.publish(spark, table.path, version)
+
+
+def test_newest_days_first(spark, run):
+    records = [detection(f"f{d}-{i}", 86_400.0 * d + 60 * i, camera_id="ab"[i % 2]) for d in range(10) for i in range(6)]
+    checked = store.check_detections(lines(spark, *map(json.dumps, records)))
+    store.store_batch(store.good_detections(checked), "w", 0, run.path("events"), run.path("boxes"))
+    whole = store.read_events(spark, run.path("events"))
+
+    def days(df):
+        return {f.split("event_date=")[1][:10] for f in df.inputFiles()}
+
+    for limit, camera, read in ((3, None, 1), (7, None, 2), (6, "a", 2), (100, None, 10)):
+        df = frames.newest_recent(store.newest_events(spark, run.path("events")), limit, camera)
+        assert df.collect() == frames.recent(whole, limit, camera).collect()
+        assert len(days(df)) == read
+    for interval, limit, read in (("minute", 5, 1), ("hour", 2, 4), ("day", 20, 10)):
+        df = frames.newest_timeseries(store.newest_events(spark, run.path("events")), interval, limit)
+        assert df.collect() == frames.timeseries(whole, interval, limit).collect()
+        assert len(days(df)) == read
+    none = frames.newest_recent(store.newest_events(spark, run.path("none")))
+    assert none.collect() == []
+
+
+def test_state_of_statistics_is_bounded(spark, run):
+    day = 86_400.0
+    for i in range(6):
+        write(run.source, f"{i}.json", *(detection(f"f{i}-{k}", day * i + 60 * k, k % 4) for k in range(40)))
+    messages = stream_lines(spark, str(run.source), 1)
+    events = store.to_events(store.good_detections(store.check_detections(messages)))
+    query = stats.start_statistics(
+        events, run.path("minutes"), run.path("check"), "10 minutes", merge=3, **ONCE
+    )
+    query.awaitTermination()
+    totals = [p.stateOperators[0].numRowsTotal for p in query.recentProgress]
+    assert len(totals) >= 6 and max(totals) <= 80
+    records = store.good_detections(store.check_detections(spark.read.text(str(run.source))))
+    batch = frames.by_minute(store.to_events(records))
+    assert rows(stats.read_minutes(spark, run.path("minutes"))) == rows(batch)
+    since = dt.date(1970, 1, 5)
+    recent = stats.read_minutes(spark, run.path("minutes"), since)
+    assert rows(recent) == [r for r in rows(batch) if r[0].date() >= since]
+
+
+def test_a_newer_row_replaces_older_ones(spark, run):
+    at = 1_000_000.0
+    for i in range(4):
+        write(run.source, f"{i}.json", *(detection(f"f{i}-{k}", at + k, i) for k in range(5)))
+    messages = stream_lines(spark, str(run.source), 1)
+    events = store.to_events(store.good_detections(store.check_detections(messages)))
+    stats.start_statistics(
+        events, run.path("minutes"), run.path("check"), "1 day", merge=2, **ONCE
+    ).awaitTermination()
+    found = stats.read_minutes(spark, run.path("minutes")).collect()
+    assert [tuple(r)[2:] for r in found] == [(1.5, 3, 20)]
+
+
+def test_stop_and_resume(spark, run):
+    many(spark, run, 1)
+    for i in range(5):
+        write(run.source, f"{i}-more.json", detection(f"m{i}"), detection(f"m{i - 1}"))
+    query = store.start_store_messages(
+        stream_lines(spark, str(run.source), 1), run.path("events"), run.path("boxes"),
+        run.path("bad"), run.path("check"), processingTime="0 seconds",
+    )
+    while query.isActive and not any(p["batchId"] >= 2 for p in query.recentProgress):
+        query.awaitTermination(0.1)
+    query.stop()
+    start(spark, run).awaitTermination()
+    events = [f for f, _ in stored(spark, run)[0]]
+    assert [f for f in events if f.startswith("m")] == ["m-1", "m0", "m1", "m2", "m3", "m4"]
+
+
+def test_a_list_with_a_bad_picture_is_halved():
+    calls = []
+
+    def find(pictures):
+        calls.append(len(pictures))
+        if b"bad" in pictures:
+            raise ValueError("no picture")
+        return [[{"x1": 1, "y1": 2, "x2": "3", "y2": 4.5, "confidence": 1, "class_id": 0}]
+                if p != b"short" else [{"x1": 1}] for p in pictures]
+
+    pictures = [b"a", b"b", b"short", b"c", b"bad", b"d", b"e", b"f"]
+    out = detect.results(find, pictures)
+    assert [reason for _, reason, _ in out] == [
+        None, None, "KeyError: 'y1'", None, "ValueError: no picture", None, None, None,
+    ]
+    assert out[0][0] == [{"x1": 1.0, "y1": 2.0, "x2": 3.0, "y2": 4.5, "confidence": 1.0, "class_id": 0}]
+    assert calls == [8, 4, 4, 2, 1, 1, 2]
+    assert [r for _, r, _ in detect.results(lambda p: [[]], [b"a", b"b"])] == [None, None]
+    wrong = detect.results(lambda p: [[], []], [b"a"])
+    assert "2 results for 1 pictures" in wrong[0][1]
+    odd = detect.results(lambda p: [[{**dict.fromkeys(detect.SIDES, "x"), "class_id": 0}]], [b"a"])
+    assert odd[0][1].startswith("ValueError")
+
+
+def test_a_malformed_result_does_not_end_the_stream(spark):
+    df = spark.createDataFrame(
+        [(n, 5.0, "c", picture(n)) for n in ("good", "text", "none")],
+        "frame_id string, timestamp double, camera_id string, frame_b64 string",
+    )
+
+    def load():
+        def find(data):
+            box = {"x1": 1, "y1": 0, "x2": 2, "y2": 1, "confidence": 0.9, "class_id": 0}
+            kinds = {b"text": [{**box, "x1": "left"}], b"none": [None]}
+            return kinds.get(data, [box])
+
+        return find
+
+    checked = {r.frame_id: r for r in detect.check_pictures(df, load).collect()}
+    assert checked["good"].reason is None and checked["good"].person_count == 1
+    assert "ValueError" in checked["text"].reason and "TypeError" in checked["none"].reason
+
+
+def test_numbers_that_are_none_are_rejected(spark):
+    odd = [detection("a", inference_time=float("nan")), detection("b", inference_time=float("inf")),
+           {**detection("c"), "bounding_boxes": [{**BOX, "confidence": float("nan")}]}]
+    text = [json.dumps(r).replace("NaN", '"NaN"').replace("Infinity", '"Infinity"') for r in odd]
+    checked = store.check_detections(lines(spark, *text, *map(json.dumps, odd), json.dumps(detection("d"))))
+    assert [r.frame_id for r in store.good_detections(checked).collect()] == ["d"]
