@@ -27,11 +27,25 @@ def is_countable(word: Column) -> Column:
     return (F.length(word) > 1) | (F.octet_length(word) > 3)
 
 
+def spaced_words(text: Column) -> Column:
+    """Lower-cased words between whitespace; the ends may yield empty strings."""
+    return F.split(F.lower(text), r"\s+")
+
+
 def without_stopwords(text: Column, stopwords: Iterable[str]) -> Column:
     """Lower-case, split on whitespace, drop stopwords, rejoin with one space.
     Order and repeats of the kept tokens stay."""
     stop = sorted(set(stopwords) | {""})
-    kept = F.filter(F.split(F.lower(text), r"\s+"), lambda token: ~token.isin(stop))
+    kept = F.filter(spaced_words(text), lambda token: ~token.isin(stop))
+    return trim_controls(F.array_join(kept, " "))
+
+
+def without_words(text: Column, found: Column) -> Column:
+    """The same for an array of words of each row; null stands for none."""
+    stop = F.coalesce(found, F.array().cast("array<string>"))
+    kept = F.filter(
+        spaced_words(text), lambda token: (token != "") & ~F.array_contains(stop, token)
+    )
     return trim_controls(F.array_join(kept, " "))
 
 

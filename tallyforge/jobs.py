@@ -2,16 +2,23 @@
 
 Each job reads its sources, applies one operator and writes the result; `--format`
 chooses tab-separated text, CSV with header, parquet or, for the rating reports,
-fixed-width lines.
+fixed-width lines with their head and closing lines.
+
+The jobs named `stream-...` are the hops of the streaming chain: they read what arrives in a
+folder of messages, or in the table of the hop before, write to `--out`, and keep their place
+in `--checkpoint`. With `--every` they go on for ever, else they end when all is read.
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
+from tallyforge import schemas
 from tallyforge.functions.stopwords import VIETNAMESE
 from tallyforge.operators import frames, ratings, sales, text
 from tallyforge.session import get_session
@@ -20,7 +27,8 @@ from tallyforge.sources import lines
 from tallyforge.sources import ratings as rating_files
 from tallyforge.sources import reviews as review_files
 from tallyforge.sources import sales as sales_files
-from tallyforge.streaming import store
+from tallyforge.sources.messages import stream_lines
+from tallyforge.streaming import batches, detect, ingest, stats, store
 
 Args = argparse.Namespace
 Job = Callable[[SparkSession, Args], DataFrame]
@@ -140,6 +148,60 @@ def _events(spark: SparkSession, args: Args) -> DataFrame:
     return store.read_events(spark, args.events)
 
 
+def _newest(spark: SparkSession, args: Args):
+    return store.newest_events(spark, args.events)
+
+
+def _boxes(spark: SparkSession, args: Args) -> DataFrame:
+    if args.frame:
+        return store.boxes_of_frame(spark, args.boxes, args.events, args.frame)
+    return store.read_boxes(spark, args.boxes, args.events)
+
+
+def _trigger(args: Args) -> dict[str, bool | str]:
+    return {"processingTime": args.every} if args.every else {"availableNow": True}
+
+
+def _messages(spark: SparkSession, args: Args) -> DataFrame:
+    return stream_lines(spark, args.inbox, args.max_files)
+
+
+def _stream_ingest(spark: SparkSession, args: Args) -> StreamingQuery:
+    return ingest.start_ingest(
+        _messages(spark, args), args.out, args.rejects, args.checkpoint, **_trigger(args)
+    )
+
+
+def _stream_detect(spark: SparkSession, args: Args) -> StreamingQuery:
+    module, _, name = args.detector.partition(":")
+    frame_stream = batches.stream_table(spark, args.inbox, schemas.FRAME)
+    return detect.start_detect(
+        frame_stream, getattr(importlib.import_module(module), name), args.out, args.rejects,
+        args.checkpoint, list_size=args.list_size, **_trigger(args),
+    )
+
+
+def _stream_store(spark: SparkSession, args: Args) -> StreamingQuery:
+    return store.start_store_messages(
+        _messages(spark, args), args.out, args.boxes, args.rejects, args.checkpoint,
+        **_trigger(args),
+    )
+
+
+def _stream_minutes(spark: SparkSession, args: Args) -> StreamingQuery:
+    records = store.good_detections(store.check_detections(_messages(spark, args)))
+    return stats.start_statistics(
+        store.to_events(records), args.out, args.checkpoint, args.delay, **_trigger(args)
+    )
+
+
+STREAMS: dict[str, Callable[[SparkSession, Args], StreamingQuery]] = {
+    "stream-ingest": _stream_ingest,
+    "stream-detect": _stream_detect,
+    "stream-store": _stream_store,
+    "stream-minutes": _stream_minutes,
+}
+
 JOBS: dict[str, Job] = {
     "clean-comments": _clean_comments,
     "clean-lines": _clean_lines,
@@ -170,27 +232,15 @@ JOBS: dict[str, Job] = {
     "segments": _segments,
     "sellers": lambda s, a: sales.seller_rank(_order_items(s, a)),
     "summary": lambda s, a: frames.summary(_events(s, a), a.camera),
-    "timeseries": lambda s, a: frames.timeseries(_events(s, a), a.interval, a.limit, a.camera),
+    "timeseries": lambda s, a: frames.newest_timeseries(_newest(s, a), a.interval, a.limit, a.camera),
     "minutes": lambda s, a: frames.by_minute(_events(s, a)),
-    "recent": lambda s, a: frames.recent(_events(s, a), a.limit, a.camera),
-    "boxes": lambda s, a: frames.frame_boxes(
-        store.read_boxes(s, a.boxes), _events(s, a), a.frame
-    ),
+    "recent": lambda s, a: frames.newest_recent(_newest(s, a), a.limit, a.camera),
+    "boxes": _boxes,
 }
 
-REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "items": reports.item_report,
-    "labels": reports.label_report,
-    "genders": reports.gender_report,
-    "ages": reports.age_report,
-    "occupations": reports.occupation_report,
-    "years": reports.year_report,
-}
-
-
 def parse(argv: Sequence[str] | None) -> Args:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=sorted(JOBS))
+    parser.add_argument("job", choices=sorted({**JOBS, **STREAMS}))
     parser.add_argument("--out", required=True)
     parser.add_argument("--format", choices=("tsv", "csv", "parquet", "report"), default="tsv")
     for name in ("reviews", "ratings", "items", "users", "occupations"):
@@ -199,6 +249,12 @@ def parse(argv: Sequence[str] | None) -> Args:
         parser.add_argument(f"--{name}")
     for name in ("events", "boxes", "camera", "frame"):
         parser.add_argument(f"--{name}")
+    for name in ("inbox", "rejects", "checkpoint", "every"):
+        parser.add_argument(f"--{name}")
+    parser.add_argument("--detector", help="module:function that loads a detector")
+    parser.add_argument("--list-size", type=int, help="pictures in a call, for list detectors")
+    parser.add_argument("--max-files", type=int, help="files of messages in a batch")
+    parser.add_argument("--delay", default="10 minutes", help="how late events may come")
     parser.add_argument("--min-count", type=int, default=text.MIN_WORD_COUNT)
     parser.add_argument("--top", type=int, default=text.TOP_WORDS)
     parser.add_argument("--min-ratings", type=int, default=ratings.MIN_RATINGS)
@@ -209,7 +265,7 @@ def parse(argv: Sequence[str] | None) -> Args:
     args = parser.parse_args(argv)
     if args.limit is None:
         args.limit = frames.LATEST_EVENTS if args.job == "recent" else frames.LATEST_BUCKETS
-    if args.format == "report" and args.job not in REPORTS:
+    if args.format == "report" and args.job not in reports.LAYOUTS:
         parser.error(f"no report layout for {args.job}")
     return args
 
@@ -217,9 +273,12 @@ def parse(argv: Sequence[str] | None) -> Args:
 def run(spark: SparkSession, argv: Sequence[str]) -> None:
     """Run one job with the given command line."""
     args = parse(argv)
+    if args.job in STREAMS:
+        STREAMS[args.job](spark, args).awaitTermination()
+        return
     result = JOBS[args.job](spark, args)
     if args.format == "report":
-        reports.write_report(REPORTS[args.job](result), args.out)
+        reports.write_report(reports.LAYOUTS[args.job].whole(result), args.out)
     elif args.format == "tsv":
         files.write_tsv(result, args.out)
     elif args.format == "csv":

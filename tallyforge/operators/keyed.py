@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyforge.session import materialise
 
-RANK_BUCKETS = 256
+#: Rows of a range that one task ranks.
+RANGE_ROWS = 1_000_000
 
 
 def best_per_key(
@@ -32,48 +33,54 @@ def insert_if_absent(incoming: DataFrame, target: DataFrame, keys: Sequence[str]
     return incoming.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def rank_by(df: DataFrame, ranks: dict[str, str], buckets: int = RANK_BUCKETS) -> DataFrame:
+def total_before(
+    df: DataFrame, order: Sequence[Column], weight: Column, out: str, rows: int, range_rows: int
+) -> DataFrame:
+    """Add the sum of `weight`, a whole number, over all rows that come before in a total `order`,
+    without a one-task window: the rows are cut into ranges of about `range_rows`, as many as
+    `rows`, an upper bound of theirs, asks for, and each range is summed on its own, on top of the
+    ranges before it. One row a range goes through one task."""
+    ranges = max(1, -(-rows // range_rows))
+    # Written, so that a row is in the same range in both branches
+    placed = materialise(
+        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    )
+    earlier = (Window.unboundedPreceding, -1)
+    above = F.sum("_sum").over(Window.orderBy("_range").rowsBetween(*earlier))
+    sums = (
+        placed.groupBy("_range")
+        .agg(F.sum(weight).alias("_sum"))
+        .select("_range", F.coalesce(above, F.lit(0)).alias("_above"))
+    )
+    inner = F.sum(weight).over(Window.partitionBy("_range").orderBy(*order).rowsBetween(*earlier))
+    return (
+        placed.withColumn("_inner", F.coalesce(inner, F.lit(0)))
+        .join(sums, "_range")
+        .withColumn(out, F.col("_above") + F.col("_inner"))
+        .drop("_range", "_above", "_inner")
+    )
+
+
+def numbered(
+    df: DataFrame, order: Sequence[Column], out: str = "n", range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """Number the rows from 1 in a total `order`."""
+    base = materialise(df)
+    before = total_before(base, order, F.lit(1), out, base.count(), range_rows)
+    return before.withColumn(out, F.col(out) + 1)
+
+
+def rank_by(df: DataFrame, ranks: dict[str, str], range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add `rank() over (order by <column> desc nulls last)` for each entry of `ranks`
     (name -> column), without a one-task window. `df` is written once and then read by
     the branches."""
     base = materialise(df)
-    shares = [i / buckets for i in range(1, buckets)]
-    columns = list(ranks.values())
-    cuts = base.approxQuantile(columns, shares, 1 / (4 * buckets))
+    rows = base.count()
     ranked = base
-    for (out, column), column_cuts in zip(ranks.items(), cuts):
-        places = _places(base, column, sorted(set(column_cuts)), out)
+    for out, column in ranks.items():
+        values = base.groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_rows"))
+        order = [F.col("_value").desc_nulls_last()]
+        places = total_before(values, order, F.col("_rows"), "_before", rows, range_rows)
+        places = places.select("_value", (F.col("_before") + 1).alias(out))
         ranked = ranked.join(places, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
     return ranked
-
-
-def _places(df: DataFrame, by: str, cuts: Sequence[float], out: str) -> DataFrame:
-    """Rank of each distinct value. The values, weighted by their rows, are cut into
-    ranges; each range is ranked on its own on top of the rows in the ranges above."""
-    values = (
-        df.groupBy(F.col(by).alias("_value"))
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_range", _range_from_top(F.col("_value"), cuts))
-    )
-    before = (Window.unboundedPreceding, -1)
-    above = Window.orderBy("_range").rowsBetween(*before)
-    # At most one row per range, so one task and a broadcast are enough
-    ranges = (
-        values.groupBy("_range")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select("_range", F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_above"))
-    )
-    order = F.col("_value").desc_nulls_last()
-    higher = Window.partitionBy("_range").orderBy(order).rowsBetween(*before)
-    return (
-        values.withColumn("_higher", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
-        .join(F.broadcast(ranges), "_range")
-        .select("_value", (F.col("_above") + F.col("_higher") + 1).alias(out))
-    )
-
-
-def _range_from_top(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cuts above the value; NULL comes after all."""
-    number = value.cast("double")
-    above = F.filter(F.lit(list(cuts)).cast("array<double>"), lambda cut: cut > number)
-    return F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(above))

@@ -7,8 +7,15 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.text import is_countable, without_stopwords, words
+from tallyforge.functions.text import (
+    is_countable,
+    spaced_words,
+    without_stopwords,
+    without_words,
+    words,
+)
 from tallyforge.operators.keyed import best_per_key
+from tallyforge.session import materialise
 
 # The sentiments that count, and the word-count threshold
 SENTIMENTS = ("positive", "negative")
@@ -19,12 +26,41 @@ Stopwords = Iterable[str] | DataFrame
 
 
 def clean_text(
-    df: DataFrame, text: str, stopwords: Iterable[str], out: str = "cleaned"
+    df: DataFrame, text: str, stopwords: Stopwords, out: str = "cleaned"
 ) -> DataFrame:
     """The text in lower case without stopwords; rows left without any word go. The
-    test is part of a generator, since a filter would clean each text again."""
-    cleaned = F.array(without_stopwords(F.col(text), stopwords))
-    return df.select("*", F.explode(F.filter(cleaned, lambda c: F.length(c) > 0)).alias(out))
+    test is part of a generator, since a filter would clean each text again.
+
+    A list of stopwords is tested word by word. A DataFrame with a column `word`, for lists of
+    any length, is joined to the distinct words of each text, and the text loses what was found;
+    for that the rows are numbered and written once. A stopword that stands in every text is a
+    skewed side of a plain join, which Spark splits."""
+    if isinstance(stopwords, DataFrame):
+        df, found = _found_stopwords(df, text, stopwords)
+        cleaned = F.array(without_words(F.col(text), F.col(found)))
+    else:
+        found, cleaned = None, F.array(without_stopwords(F.col(text), stopwords))
+    kept = df.select("*", F.explode(F.filter(cleaned, lambda c: F.length(c) > 0)).alias(out))
+    return kept.drop(found) if found else kept
+
+
+def _found_stopwords(df: DataFrame, text: str, stopwords: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with an array of the stopwords that stand in their text, and its name."""
+    taken = {"word", *(c.lower() for c in df.columns)}
+    row, found = (_unused(name, taken) for name in ("row", "found"))
+    rows = materialise(df.withColumn(row, F.monotonically_increasing_id()))
+    words = F.explode(F.array_distinct(spaced_words(F.col(text)))).alias("word")
+    listed = stopwords.select("word").distinct()
+    hits = rows.select(row, words).join(listed, "word", "left_semi")
+    per_row = hits.groupBy(row).agg(F.collect_set("word").alias(found))
+    joined = rows.join(per_row, row, "left")
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), found), found
+
+
+def _unused(name: str, taken: set[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
 
 
 def explode_words(

@@ -53,27 +53,47 @@ def read_items(spark: SparkSession, folder: str) -> DataFrame:
     return ratings.read_items(spark, _lines(parts, line))
 
 
-def read_order_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as sales files, with a column that no layout names; sums by product."""
-    path = new_run_folder(spark, "order-items")
-    values = {
+def _order_item_cells() -> dict[str, Column]:
+    return {
         "Order_ID": F.col("l_orderkey"), "Product_ID": F.col("l_partkey"),
         "Seller_ID": F.col("l_suppkey"), "Price": money("l_extendedprice"),
         "Freight_Value": money("l_quantity"), "Shipping_Limit_Date": F.col("l_shipdate"),
     }
-    columns = [value.alias(header) for header, value in reversed(values.items())]
+
+
+def _by_product(items: DataFrame) -> DataFrame:
+    return items.groupBy("product_id").agg(
+        F.sum("price").cast("double").alias("price"),
+        F.sum("freight").cast("double").alias("freight"),
+        F.countDistinct("order_id", "seller_id").alias("n_pairs"),
+        F.max("ship_by").cast("timestamp_ntz").alias("last_ship_by"),
+    )
+
+
+def read_order_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as sales files, with a column that no layout names; sums by product."""
+    path = new_run_folder(spark, "order-items")
+    columns = [value.alias(header) for header, value in reversed(_order_item_cells().items())]
     rows = table(spark, folder, "lineitem").select("l_linestatus", *columns)
     rows.write.option("sep", ";").option("header", True).csv(path)
-    return (
-        sales.read_order_items(spark, path)
-        .groupBy("product_id")
-        .agg(
-            F.sum("price").cast("double").alias("price"),
-            F.sum("freight").cast("double").alias("freight"),
-            F.countDistinct("order_id", "seller_id").alias("n_pairs"),
-            F.max("ship_by").cast("timestamp_ntz").alias("last_ship_by"),
-        )
-    )
+    return _by_product(sales.read_order_items(spark, path))
+
+
+def read_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from one folder whose files have three headers: other orders of the columns, a
+    column more, and a column less where it has no value."""
+    path = new_run_folder(spark, "mixed-headers")
+    cells = [value.alias(header) for header, value in _order_item_cells().items()]
+    items = table(spark, folder, "lineitem")
+    status = F.col("l_linenumber") % 3
+    parts = [
+        items.filter(status == 0).select(*cells),
+        items.filter(status == 1).select("l_linestatus", *reversed(cells)),
+        items.filter(status == 2).select(*cells[3:], *cells[:3]).drop("Freight_Value"),
+    ]
+    for rows in parts:
+        rows.write.mode("append").option("sep", ";").option("header", True).csv(path)
+    return _by_product(sales.read_order_items(spark, path))
 
 
 def tsv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,10 +120,22 @@ QUERIES = {
     "read_ratings": read_ratings,
     "read_items": read_items,
     "read_order_items": read_order_items,
+    "read_mixed_headers": read_mixed_headers,
     "tsv_round_trip": tsv_round_trip,
     "csv_round_trip": csv_round_trip,
 }
 
+
+def _sums_by_product(freight: str) -> str:
+    return f"""
+      SELECT CAST(l_partkey AS VARCHAR) AS product_id,
+             CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) AS price,
+             CAST(sum(CAST({freight} AS DECIMAL(15,2))) AS DOUBLE) AS freight,
+             count(DISTINCT (l_orderkey, l_suppkey)) AS n_pairs,
+             max(CAST(l_shipdate AS TIMESTAMP)) AS last_ship_by
+      FROM lineitem GROUP BY 1"""
+
+
 SQL = {
     "parse_reviews": """
       SELECT CAST(doc_id AS VARCHAR) AS id, replace(coalesce(text, ''), ';', ',') AS comment,
@@ -118,13 +150,8 @@ SQL = {
              CASE WHEN p_size < 10 THEN p_name ELSE p_name || ', ' || p_brand END AS title,
              CASE WHEN p_size < 10 THEN '{ratings.NO_LABELS}' ELSE p_type END AS labels
       FROM part""",
-    "read_order_items": """
-      SELECT CAST(l_partkey AS VARCHAR) AS product_id,
-             CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) AS price,
-             CAST(sum(CAST(l_quantity AS DECIMAL(15,2))) AS DOUBLE) AS freight,
-             count(DISTINCT (l_orderkey, l_suppkey)) AS n_pairs,
-             max(CAST(l_shipdate AS TIMESTAMP)) AS last_ship_by
-      FROM lineitem GROUP BY 1""",
+    "read_order_items": _sums_by_product("l_quantity"),
+    "read_mixed_headers": _sums_by_product("CASE WHEN l_linenumber % 3 <> 2 THEN l_quantity END"),
     "tsv_round_trip": r"""
       SELECT doc_id, sha256(replace(replace(replace(replace(coalesce(text, ''),
              '\', '\\'), chr(9), '\t'), chr(10), '\n'), chr(13), '\r')) AS line_sha256

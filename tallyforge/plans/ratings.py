@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.operators import ratings as ops
+from tallyforge.operators.keyed import numbered
 from tallyforge.plans.tables import money, table
 from tallyforge.sinks import reports
 
@@ -173,7 +174,31 @@ def year_report(spark: SparkSession, folder: str) -> DataFrame:
     return reports.year_report(by_year(spark, folder))
 
 
+def _numbered_lines(layout: reports.Layout, stats: DataFrame) -> DataFrame:
+    """All lines of a report with their numbers from the top."""
+    return numbered(layout.lines(stats), layout.by()).select("n", "value")
+
+
+def item_report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return _numbered_lines(reports.LAYOUTS["items"], _item_stats(spark, folder))
+
+
+def label_report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    averages = ops.label_average(
+        _line_ratings(spark, folder), _parts(spark, folder), separator=" "
+    )
+    return _numbered_lines(reports.LAYOUTS["labels"], averages)
+
+
+def year_report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    averages = ops.year_average(_order_ratings(spark, folder))
+    return _numbered_lines(reports.LAYOUTS["years"], averages)
+
+
 QUERIES = {
+    "item_report_lines": item_report_lines,
+    "label_report_lines": label_report_lines,
+    "year_report_lines": year_report_lines,
     "gender_report": gender_report,
     "age_report": age_report,
     "occupation_report": occupation_report,
@@ -243,7 +268,42 @@ def _person_report(key: str, attribute: str, limit: int, widths: tuple[int, int]
         GROUP BY l_partkey, p_name, p_type, p_brand, p_size, {key}))"""
 
 
+_ITEM_LINE = """'MovieID: ' || item_id || ' | Title: ' || title || ' | Average Rating: '
+  || avg_rating || ' | Total Ratings: ' || n_ratings"""
+_LABEL_LINE = f"{_pad('label', 20)} || ' | ' || {_two_digits('avg_rating')}"
+_YEAR_LINE = f"{_pad('y', 10)} || ' | ' || {_pad(_two_digits('avg_rating'), 15)} || ' | ' || n"
+_YEARS = f"""
+  SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, count(*) AS n,
+         CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS avg_rating
+  FROM orders GROUP BY 1"""
+
+
+def _lines(head: tuple[str, ...], body: str, top: str = "") -> str:
+    """Numbered lines: the head, the rows of `body` (place, value), closing lines (place, value)."""
+    fixed = " UNION ALL ".join(f"SELECT 0 AS section, {i} AS place, '{x}' AS value" for i, x in enumerate(head))
+    return f"""
+      SELECT row_number() OVER (ORDER BY section, place) AS n, value FROM (
+        {fixed} UNION ALL SELECT 1, place, value FROM ({body})
+        {top and f"UNION ALL SELECT 2, place, value FROM ({top})"})"""
+
+
 SQL = {
+    "item_report_lines": _lines(
+        reports.ITEM_HEAD,
+        f"SELECT row_number() OVER (ORDER BY item_id) AS place, {_ITEM_LINE} AS value FROM ({_ITEMS})",
+        f"""SELECT unnest([1, 2, 3, 4]) AS place, unnest(['', '========== TOP MOVIE ==========',
+              'Phim có điểm cao nhất : ' || title, 'Điểm trung bình       : ' || avg_rating]) AS value
+            FROM ({_ITEMS} ORDER BY avg_rating DESC, title, item_id LIMIT 1)""",
+    ),
+    "label_report_lines": _lines(
+        reports.GENRE_HEAD,
+        f"""SELECT row_number() OVER (ORDER BY avg_rating DESC, label) AS place, {_LABEL_LINE} AS value
+            FROM ({_LABELS})""",
+    ),
+    "year_report_lines": _lines(
+        reports.YEAR_HEAD,
+        f"SELECT row_number() OVER (ORDER BY y) AS place, {_YEAR_LINE} AS value FROM ({_YEARS})",
+    ),
     "gender_report": _person_report(
         "substr(c_mktsegment, 1, 1)",
         "CASE WHEN substr(c_mktsegment, 1, 1) = 'M' THEN 'Nam' ELSE 'Nữ' END", 37, (40, 10)
@@ -255,22 +315,12 @@ SQL = {
       FROM (SELECT n_name, CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS avg_rating, count(*) AS n
             FROM orders JOIN customer ON o_custkey = c_custkey
               JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name)""",
-    "year_report": f"""
-      SELECT {_pad("y", 10)} || ' | ' || {_pad(_two_digits("avg_rating"), 15)}
-        || ' | ' || n AS value
-      FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, count(*) AS n,
-                   CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS avg_rating
-            FROM orders GROUP BY 1)""",
+    "year_report": f"SELECT {_YEAR_LINE} AS value FROM ({_YEARS})",
     "item_avg": _ITEMS,
     "top_item": f"{_ITEMS} ORDER BY avg_rating DESC, title, item_id LIMIT 1",
-    "item_report": f"""
-      SELECT 'MovieID: ' || item_id || ' | Title: ' || title || ' | Average Rating: ' || avg_rating
-        || ' | Total Ratings: ' || n_ratings AS value
-      FROM ({_ITEMS})""",
+    "item_report": f"SELECT {_ITEM_LINE} AS value FROM ({_ITEMS})",
     "multi_label_avg": f"{_LABELS} ORDER BY avg_rating DESC, label",
-    "label_report": f"""
-      SELECT {_pad("label", 20)} || ' | ' || {_two_digits("avg_rating")} AS value
-      FROM ({_LABELS})""",
+    "label_report": f"SELECT {_LABEL_LINE} AS value FROM ({_LABELS})",
     "item_by_attr": _by_attribute("c_mktsegment", "segment"),
     "item_by_band": _by_attribute(
         """CASE WHEN c_acctbal < 0 THEN '<0' WHEN c_acctbal < 2500 THEN '0-2499'

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.functions.text import spaced_words
 from tallyforge.operators import text as ops
 from tallyforge.plans.tables import spread, table
 
@@ -41,6 +42,14 @@ def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     return ops.clean_text(documents, "text", ENGLISH).select("doc_id", "cleaned")
 
 
+def clean_text_joined_stopwords(spark: SparkSession, folder: str) -> DataFrame:
+    """The stopwords are a table: every word of the documents that begins with a vowel."""
+    documents = spread(_documents(spark, folder).select("doc_id", "text"))
+    words = documents.select(F.explode(spaced_words(F.col("text"))).alias("word")).distinct()
+    stopwords = words.filter(F.substring("word", 1, 1).isin(*"aeiou"))
+    return ops.clean_text(documents, "text", stopwords).select("doc_id", "cleaned")
+
+
 def word_freq(spark: SparkSession, folder: str) -> DataFrame:
     documents = spread(_documents(spark, folder).select("text"))
     return ops.word_frequency(documents, "text", ENGLISH)
@@ -125,6 +134,7 @@ _CATEGORY = _top_words("SELECT lang AS category, text FROM documents", "text", "
 
 QUERIES = {
     "clean_text": clean_text,
+    "clean_text_joined_stopwords": clean_text_joined_stopwords,
     "word_freq": word_freq,
     "word_freq_joined_stopwords": word_freq_joined_stopwords,
     "count_by_category": count_by_category,
@@ -137,15 +147,23 @@ QUERIES = {
     "top5_words_category_line": top5_words_category_line,
 }
 
-SQL = {
-    "clean_text": rf"""
+
+
+def _cleaned(kept: str) -> str:
+    """Texts of the words `w` that fulfil a condition."""
+    return rf"""
       SELECT doc_id, cleaned FROM (
         SELECT doc_id, regexp_replace(array_to_string(list_filter(
             regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]+'),
-            lambda w: w <> '' AND w NOT IN ({_STOP})), ' '),
+            lambda w: w <> '' AND {kept}), ' '),
           '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS cleaned
         FROM documents)
-      WHERE length(cleaned) > 0""",
+      WHERE length(cleaned) > 0"""
+
+
+SQL = {
+    "clean_text": _cleaned(f"w NOT IN ({_STOP})"),
+    "clean_text_joined_stopwords": _cleaned("substr(w, 1, 1) NOT IN ('a', 'e', 'i', 'o', 'u')"),
     "word_freq": f"""
       SELECT word, count(*) AS n
       FROM (SELECT unnest({_WORDS.format(text="text")}) AS word FROM documents)

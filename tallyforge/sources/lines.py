@@ -7,25 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import trim_controls
 
-MAX_STOPWORDS = 100_000
-
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw lines as one column `value`."""
     return spark.read.text(list(paths))
 
 
-def read_stopwords(spark: SparkSession, path: str) -> frozenset[str]:
-    """Distinct trimmed lower-cased lines. The list goes into the query plan, so a
-    file too long to be a stopword list is refused, not cut."""
-    listed = (
-        read_lines(spark, path)
-        .select(F.lower(trim_controls(F.col("value"))).alias("word"))
-        .filter(F.length("word") > 0)
-        .distinct()
-        .limit(MAX_STOPWORDS + 1)
-        .collect()
-    )
-    if len(listed) > MAX_STOPWORDS:
-        raise ValueError(f"{path} holds more than {MAX_STOPWORDS} words")
-    return frozenset(row.word for row in listed)
+def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct trimmed lower-cased lines, as a column `word`. A file of any length: the words
+    stay a table, which the operators join."""
+    word = F.lower(trim_controls(F.col("value"))).alias("word")
+    return read_lines(spark, path).select(word).filter(F.length("word") > 0).distinct()

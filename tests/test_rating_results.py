@@ -28,9 +28,9 @@ def test_report(spark, tmp_path, number, job):
     # The published years were counted in a zone west of UTC
     jobs.run(spark, [job, "--out", out, "--format", "report", "--zone", "America/New_York",
                      *sources])
-    found = sorted(row.value for row in spark.read.text(out).collect())
-    published = sorted(Path(RESULTS).glob("*.txt"))[number].read_text(encoding="utf-8")
-    # Banner, header and rule come first; the item report closes with its best item
-    rows = [line for line in published.split("\n\n")[0].splitlines() if " | " in line]
-    body = rows if job == "items" else rows[1:]
-    assert found == sorted(body)
+    parts = sorted(p for p in Path(out).iterdir() if p.name.startswith("part"))
+    found = "".join(p.read_text(encoding="utf-8") for p in parts).splitlines()
+    published = sorted(Path(RESULTS).glob("*.txt"))[number].read_text(encoding="utf-8").splitlines()
+    # The published rows come in the order of a hash, and one banner lost its first character
+    assert sorted(found[1:]) == sorted(published[1:])
+    assert found[0].strip("=") == published[0].strip("=")

@@ -184,13 +184,42 @@ def test_first_wins_and_insert_if_absent(spark):
     assert rows(new.select("k", "v")) == [("a", 1), ("c", 4)]
 
 
-def test_files_with_other_column_order_are_an_error(spark, tmp_path):
+LAYOUT = {"Order_ID": ("order_id", schemas.STRING), "Review_Score": ("score", schemas.STRING)}
+
+
+def test_files_of_other_headers_are_read_by_name(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Order_ID;Review_Score\n1;4\n")
+    (folder / "b b%20.csv").write_text('Review_Score;"Order_ID";More\n5;2;x\n3;"3";y\n')
+    (folder / "c.csv").write_text("Order_ID\r\n6\r\n")
+    (folder / "d.csv").write_text("Order_ID;Review_Score\n7;1\n")
+    (folder / "empty.csv").write_text("")
+    found = files.read_table(spark, str(folder), LAYOUT)
+    assert rows(found) == [("1", "4"), ("2", "5"), ("3", "3"), ("6", None), ("7", "1")]
+    listed = files.headers(spark, [str(folder)])
+    assert {h: len(f) for h, f in listed.items()} == {
+        ("Order_ID", "Review_Score"): 2, ("Review_Score", "Order_ID", "More"): 1, ("Order_ID",): 1,
+    }
+    some = files.read_table(spark, [str(folder / "a.csv"), str(folder / "c.csv")], LAYOUT)
+    assert rows(some) == [("1", "4"), ("6", None)]
+
+
+def test_a_column_that_no_file_has_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Order_ID\n1\n")
+    with pytest.raises(ValueError, match="Review_Score"):
+        files.read_table(spark, str(tmp_path / "a.csv"), LAYOUT)
+
+
+def test_headers_of_split_files(spark, tmp_path, conf):
+    conf(spark__sql__files__maxPartitionBytes="2000")
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.csv").write_text("Order_ID;Review_Score\n1;4\n")
-    (tmp_path / "in" / "b.csv").write_text("Review_Score;Order_ID\n5;2\n")
-    layout = {"Order_ID": ("order_id", schemas.STRING), "Review_Score": ("score", schemas.STRING)}
-    with pytest.raises(Exception):
-        files.read_table(spark, str(tmp_path / "in"), layout).collect()
+    for i, header in enumerate(("Order_ID;Review_Score", "Review_Score;Order_ID")):
+        lines = "\n".join(f"{k};{k}" for k in range(3000))
+        (tmp_path / "in" / f"{i}.csv").write_text(f"{header}\n{lines}\n")
+    assert len(files.headers(spark, [str(tmp_path / "in")])) == 2
+    found = files.read_table(spark, str(tmp_path / "in"), LAYOUT)
+    assert found.count() == 6000 and found.filter("order_id <> score").count() == 0
 
 
 def test_sums_of_amounts_do_not_depend_on_the_partitions(spark, tmp_path):

@@ -102,7 +102,29 @@ def test_top_words_against_counting(spark):
 def test_read_stopwords(spark, tmp_path):
     path = tmp_path / "stop.txt"
     path.write_text(" Là \n\ncủa\nlà\nchúng tôi\n", encoding="utf-8")
-    assert read_stopwords(spark, str(path)) == {"là", "của", "chúng tôi"}
+    assert rows(read_stopwords(spark, str(path))) == [("chúng tôi",), ("của",), ("là",)]
+
+
+def test_clean_text_with_a_table_of_any_length(spark):
+    stop = spark.range(200_000).select(F.concat(F.lit("w"), "id").alias("word"))
+    df = spark.createDataFrame(
+        [(1, "W1 keep  w2 w200000 keep\tw1"), (1, "W1 keep  w2 w200000 keep\tw1"), (2, "w5 w6"), (3, ""),
+         (4, None), (None, "\x01a w7 \x01")],
+        "row int, t string",
+    )
+    found = ops.clean_text(df, "t", stop.union(stop.limit(5)))
+    assert found.columns == ["row", "t", "cleaned"]
+    assert rows(found.select("row", "cleaned")) == [
+        (1, "keep w200000 keep"), (1, "keep w200000 keep"), (None, "a"),
+    ]
+
+
+@pytest.mark.parametrize("words", [[], ["aa"], ["aa", "cc", "zz"]])
+def test_clean_text_from_list_or_table(spark, words):
+    df = lines(spark, "aa bb aa cc", "CC aa", " aa ", "bb  bb")
+    as_table = spark.createDataFrame([(w,) for w in words], "word string")
+    listed = rows(ops.clean_text(df, "value", words))
+    assert rows(ops.clean_text(df, "value", as_table)) == listed and listed
 
 
 def test_class_totals_sum_to_the_rows(reviews):
