@@ -15,17 +15,23 @@ taken by its bytes of UTF-8, one each, where 254 and 255 never occur.
 
 from __future__ import annotations
 
+import itertools
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import chunks, kept_table
+from tallyforge.llm.common import chunks, kept_table, located, opened, tidy
+from tallyforge.session import shared_folder
 
 ROUNDS = 6
+#: Tasks that write shards; with more shards, a task writes several, one after the other.
+MOST_TASKS = 20_000
 #: Ids that are turned into bytes at once.
 CHUNK_IDS = 1 << 20
 
@@ -71,44 +77,33 @@ def permute(index: np.ndarray, n: int, key: int, back: bool = False) -> np.ndarr
     return out.astype(np.int64)
 
 
-def _sized(docs: DataFrame, column: str, width: int) -> DataFrame:
-    """Rows with their number of ids and their partition; the ids stay in the JVM."""
-    if _kind(docs, column) == "array":
-        n = F.coalesce(F.array_size(column), F.lit(0))
-    else:
-        n = (F.coalesce(F.octet_length(column), F.lit(0)) / width).cast("long")
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (n + 1).cast("long").alias("n_ids"),
-        F.spark_partition_id().alias("part"),
-    )
-
-
 def _kind(docs: DataFrame, column: str) -> str:
     return docs.schema[column].dataType.typeName()
 
 
-def _lines(batch: pa.RecordBatch, kind: str, width: int) -> Iterator[bytes]:
-    """The ids of the first column as bytes, an end mark behind each row, in bounded parts."""
+def _rows(batch: pa.RecordBatch, kind: str, width: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The ids of the column `ids` as bytes, an end mark behind each row, in bounded parts of the
+    batch."""
     end, _ = marks(width)
     mark = end.to_bytes(width, "little")
     if kind != "array":
-        for piece in chunks(batch, batch.schema.names[0]):
-            ids = [x or b"" for x in piece.column(0).cast(pa.binary()).to_pylist()]
+        for part in chunks(batch, "ids"):
+            ids = [x or b"" for x in part.column("ids").cast(pa.binary()).to_pylist()]
             if kind == "binary":
-                _check(np.frombuffer(b"".join(ids), f"<u{width}"), width)
                 if any(len(x) % width for x in ids):
                     raise ValueError(f"packed ids must take {width} bytes each")
-            yield b"".join([x for line in ids for x in (line, mark)])
+                _check(np.frombuffer(b"".join(ids), f"<u{width}"), width)
+            yield part, [x + mark for x in ids]
         return
-    sizes = batch.column(0).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // CHUNK_IDS)) + 1
-    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
-        ids = batch.column(0).slice(a, b - a).flatten()
+    for a, b in itertools.pairwise([0, *cuts.tolist(), len(sizes)]):
+        part = batch.slice(a, b - a)
+        ids = part.column("ids").flatten()
         values = ids.to_numpy(zero_copy_only=False)
         _check(np.array([-1]) if ids.null_count else values, width)
-        ends = np.cumsum(sizes[a:b], dtype=np.int64)
-        yield np.insert(values.astype(f"<u{width}"), ends, end).tobytes()
+        data, ends = values.astype(f"<u{width}").tobytes(), np.cumsum(sizes[a:b], dtype=np.int64) * width
+        yield part, [data[i:j] + mark for i, j in itertools.pairwise([0, *ends.tolist()])]
 
 
 def _check(ids: np.ndarray, width: int) -> None:
@@ -117,6 +112,35 @@ def _check(ids: np.ndarray, width: int) -> None:
         raise ValueError(f"ids must be 0 to {end - 1} to be kept in {width} bytes")
 
 
+def _placed(docs: DataFrame, column: str, width: int) -> DataFrame:
+    """doc_id, ids (packed, with the end mark), n_ids, part and at: the task that has packed a row
+    and how many ids that task had before it. Written with the ids, these are the rows'
+    places for good, however later passes are split."""
+    kind = _kind(docs, column)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for rows, lines in _rows(batch, kind, width):
+                n = np.array([len(x) // width for x in lines], np.int64)
+                begins = at + np.cumsum(n) - n
+                at += int(n.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column("doc_id"),
+                        pa.array(lines, pa.binary()),
+                        pa.array(n),
+                        pa.array(np.full(len(n), part, np.int64)),
+                        pa.array(begins),
+                    ],
+                    ["doc_id", "ids", "n_ids", "part", "at"],
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).alias("ids"))
+    shape = "doc_id long, ids binary, n_ids long, part long, at long"
+    return kept_table(rows.mapInArrow(tidy(place), shape), "placed", "zstd")
+
+
 def write_shards(
     docs: DataFrame,
     folder: str,
@@ -127,91 +151,125 @@ def write_shards(
     width: int = 1,
 ) -> tuple[DataFrame, DataFrame, int]:
     """Write the ids in `column` (an array of ids that fit `width` bytes, or binary with such
-    ids packed, little end first, or a text, whose bytes are its ids at width 1) to shards below `folder`, which all executors must reach; give back where the
-    documents lie, what shards there are, and the number of sequences.
+    ids packed, little end first, or a text, whose bytes are its ids at width 1) to shards
+    below `folder`, which all executors must reach; give back where the documents lie, what
+    shards there are, and the number of sequences.
 
     First: doc_id, n_ids (with the end mark), sequence and place (of its first id), slot,
     shard and offset (byte of its first id in that file). Second: shard, first_slot, n_slots,
     n_bytes, crc32.
 
-    Documents are numbered in the order of `docs`, which must be a table as read, or another
-    frame whose partitions come out the same each time: that is checked, and an error if
-    not. One pass counts, a second one sends each id once to the task of its shard, a third one
-    places the documents. Null texts and arrays count as empty (an end mark alone); null and repeated doc_ids stay as they are. A
-    shard that is written again, as after a lost executor, is the same file.
+    The ids are written once to the shared folder, each row with its place; all passes read
+    that table, so it matters to none of them how it is split, or which executors are left.
+    Pieces of a sequence meet at the task of their shard, one task a shard. Null texts and arrays
+    count as empty (an end mark alone); null and repeated doc_ids stay as they are, further
+    columns are left out, an empty table gives no shards; a text may be of any length. A shard that
+    is written again, as after a lost executor or by a second attempt, is the same file.
     """
     spark = docs.sparkSession
     kind, stride, filler = _kind(docs, column), length * width, marks(width)[1]
     if kind not in ("array", "binary") and width != 1:
         raise ValueError("the bytes of a text are ids of one byte")
-    counts = _sized(docs, column, width).groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
-    ids = {r.part: r.n for r in counts}
-    first, total = {}, 0
-    for part in sorted(ids):
+    folder = located(spark, folder)
+    placed = _placed(docs, column, width)
+    sums = placed.groupBy("part").agg(F.max(F.col("at") + F.col("n_ids")).alias("n")).collect()
+    first, short, total = {}, {}, 0
+    for part, n in sorted((r.part, r.n) for r in sums):
         first[part] = total
-        total += -(-ids[part] // length)
-    place = spark.sparkContext.broadcast((ids, first))
+        total += -(-n // length)
+        # The last sequence of a part may have fewer ids
+        short[total - 1] = (n - 1) % length + 1
+    known = spark.sparkContext.broadcast((first, short))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, at, seen, part = b"", None, 0, None
+        line, begin = bytearray(), 0
         for batch in batches:
-            if not len(batch):
-                continue
-            if part is None:
-                part = batch.column("part")[0].as_py()
-                at = place.value[1][part]
-            for new in _lines(batch, kind, width):
-                seen += len(new) // width
-                line = rest + new
-                whole = len(line) // stride
-                rest = line[whole * stride :]
-                if whole:
-                    yield rows(at, [line[i * stride : (i + 1) * stride] for i in range(whole)])
-                    at += whole
-        if rest:
-            yield rows(at, [rest + filler.to_bytes(width, "little") * (length - len(rest) // width)])
-        if part is not None and seen != place.value[0][part]:
-            raise RuntimeError("the partitions of the documents changed between two passes")
-
-    def rows(at: int, sequences: list[bytes]) -> pa.RecordBatch:
-        slots = permute(np.arange(at, at + len(sequences)), total, key)
+            for part in chunks(batch, "ids"):
+                starts = [known.value[0][p] * length for p in part.column("part").to_pylist()]
+                for start, at, ids in zip(
+                    starts, part.column("at").to_pylist(), part.column("ids").to_pylist(), strict=True
+                ):
+                    if line and start + at != begin + len(line) // width:
+                        yield pieces(begin, bytes(line))
+                        line.clear()
+                    if not line:
+                        begin = start + at
+                    line += ids
+                # Whole sequences go, the rest waits for the next row
+                whole = (begin + len(line) // width) // length * length - begin
+                if whole > 0:
+                    yield pieces(begin, bytes(line[: whole * width]))
+                    del line[: whole * width]
+                    begin += whole
+        if line:
+            yield pieces(begin, bytes(line))
+
+    def pieces(begin: int, line: bytes) -> pa.RecordBatch:
+        """Ids from a position on, cut where sequences end, each piece packed."""
+        end = begin + len(line) // width
+        borders = [begin, *range((begin // length + 1) * length, end, length), end]
+        cuts = [line[(a - begin) * width : (b - begin) * width] for a, b in itertools.pairwise(borders)]
+        at = np.array(borders[:-1], np.int64)
+        slots = permute(at // length, total, key)
         return pa.RecordBatch.from_arrays(
-            [pa.array(slots // per_shard), pa.array(slots), pa.array(sequences, pa.binary())],
-            ["shard", "slot", "ids"],
+            [
+                pa.array(slots // per_shard),
+                pa.array(slots),
+                pa.array(at // length),
+                pa.array(at % length),
+                pa.array([len(x) for x in cuts], pa.int64()),
+                pa.array([pa.compress(x, "zstd", asbytes=True) for x in cuts], pa.binary()),
+            ],
+            ["shard", "slot", "sequence", "place", "size", "ids"],
         )
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, path = opened(folder)
         store.create_dir(path, recursive=True)
+        done: list[tuple[int, int, int, int, int]] = []
         now = out = None
         crc = n = 0
-        done: list[tuple[int, int, int, int, int]] = []
+
+        def put(sequence: int, line: bytes) -> None:
+            nonlocal crc, n
+            want = known.value[1].get(sequence, length) * width
+            if len(line) != want:
+                raise RuntimeError(f"sequence {sequence} has {len(line)} bytes in place of {want}")
+            line += filler.to_bytes(width, "little") * ((stride - want) // width)
+            out.write(line)
+            crc = zlib.crc32(line, crc)
+            n += 1
 
         def finish() -> None:
             out.close()
             want = min(per_shard, total - now * per_shard)
             if n != want:
                 raise RuntimeError(f"shard {now} has {n} sequences in place of {want}")
-            store.move(f"{path}/.{name(now)}", f"{path}/{name(now)}")
+            store.move(hidden, f"{path}/{name(now)}")
             done.append((now, now * per_shard, n, n * stride, crc))
 
+        waiting: tuple[int, int, bytes] | None = None
         for batch in batches:
-            for shard, slot, line in zip(
-                *(batch.column(c).to_pylist() for c in ("shard", "slot", "ids")), strict=True
-            ):
+            columns = [batch.column(c).to_pylist() for c in ("shard", "slot", "sequence", "place", "size", "ids")]
+            for shard, slot, sequence, place, size, ids in zip(*columns, strict=True):
+                ids = pa.decompress(ids, size, "zstd", asbytes=True)
+                if waiting and waiting[0] == slot:
+                    if place * width != len(waiting[2]):
+                        raise RuntimeError(f"sequence {sequence} lacks a piece before {place}")
+                    waiting = (slot, sequence, waiting[2] + ids)
+                    continue
+                if waiting:
+                    put(*waiting[1:])
                 if shard != now:
                     if now is not None:
                         finish()
                     now, crc, n = shard, 0, 0
-                    out = store.open_output_stream(f"{path}/.{name(now)}")
-                if slot != now * per_shard + n:
-                    raise RuntimeError(f"slot {slot} is out of order")
-                out.write(line)
-                crc = zlib.crc32(line, crc)
-                n += 1
-        if now is not None:
+                    # No other attempt at this shard has the same name
+                    hidden = f"{path}/.{name(now)}-{uuid.uuid4().hex}"
+                    out = store.open_output_stream(hidden)
+                waiting = (slot, sequence, ids)
+        if waiting:
+            put(*waiting[1:])
             finish()
         columns = list(zip(*done, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays(
@@ -219,53 +277,31 @@ def write_shards(
             ["shard", "first_slot", "n_slots", "n_bytes", "crc32"],
         )
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select(column, F.spark_partition_id().alias("part")).mapInArrow(
-        pack, "shard long, slot long, ids binary"
+    tasks = min(max(1, -(-total // per_shard)), MOST_TASKS)
+    packed = placed.select("part", "at", "ids").mapInArrow(
+        tidy(pack), "shard long, slot long, sequence long, place long, size long, ids binary"
     )
     shards = kept_table(
-        packed.repartition(parts, "shard")
-        .sortWithinPartitions("slot")
-        .mapInArrow(save, "shard long, first_slot long, n_slots long, n_bytes long, crc32 long"),
+        packed.repartitionById(tasks, (F.col("shard") % tasks).cast("int"))
+        .sortWithinPartitions("slot", "place")
+        .mapInArrow(tidy(save), "shard long, first_slot long, n_slots long, n_bytes long, crc32 long"),
         "shards",
     )
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = part = None
-        seen = 0
         for batch in batches:
-            n = batch.column("n_ids").to_numpy()
-            if not len(n):
-                continue
-            if at is None:
-                part = batch.column("part")[0].as_py()
-                at = place.value[1][part] * length
-            seen += int(n.sum())
-            starts = at + np.cumsum(n) - n
-            at += int(n.sum())
-            sequence, inner = starts // length, starts % length
+            starts = np.array([known.value[0][p] for p in batch.column("part").to_pylist()], np.int64)
+            start = starts * length + batch.column("at").to_numpy()
+            sequence, inner = start // length, start % length
             slots = permute(sequence, total, key)
+            offset = (slots % per_shard * length + inner) * width
+            places = (sequence, inner, slots, slots // per_shard, offset)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("n_ids"),
-                    *map(
-                        pa.array,
-                        (
-                            sequence,
-                            inner,
-                            slots,
-                            slots // per_shard,
-                            (slots % per_shard * length + inner) * width,
-                        ),
-                    ),
-                ],
+                [batch.column("doc_id"), batch.column("n_ids"), *map(pa.array, places)],
                 ["doc_id", "n_ids", "sequence", "place", "slot", "shard", "offset"],
             )
-        if part is not None and seen != place.value[0][part]:
-            raise RuntimeError("the partitions of the documents changed between two passes")
 
-    where = _sized(docs, column, width).mapInArrow(
+    where = placed.select("doc_id", "n_ids", "part", "at").mapInArrow(
         locate,
         "doc_id long, n_ids long, sequence long, place long, slot long, shard long, offset long",
     )
@@ -280,10 +316,9 @@ def read_slots(
     folder: str, begin: int, end: int, length: int = 2048, per_shard: int = 8192, width: int = 1
 ) -> Iterator[np.ndarray]:
     """Sequences of the slots from `begin` to `end` (excluded), file after file: a run that
-    stopped goes on from the slot it had come to."""
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    stopped goes on from the slot it had come to. `folder` is as `shard_folder` gives it, or a local
+    path."""
+    store, path = opened(folder)
     while begin < end:
         shard = begin // per_shard
         with store.open_input_file(f"{path}/{name(shard)}") as file:
@@ -308,9 +343,5 @@ def read_sequences(
 
 
 def shard_folder(spark: SparkSession) -> str:
-    """A new folder for shards below the shared one."""
-    import uuid
-
-    from tallyforge.session import shared_folder
-
-    return f"{shared_folder(spark)}/tallyforge-llm/order-{uuid.uuid4().hex}"
+    """A new folder for shards below the shared one, with its scheme."""
+    return located(spark, f"{shared_folder(spark)}/tallyforge-llm/order-{uuid.uuid4().hex}")

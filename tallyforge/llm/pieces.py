@@ -29,6 +29,8 @@ STORE_BYTES = 48 << 20
 WORD_BYTES = 150
 #: Words that are merged at once.
 MERGED = 8192
+#: Bytes of texts whose words are looked up at once.
+LOOKED_UP = 2 << 20
 
 
 class Pieces:
@@ -374,7 +376,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return map_chunks(
-        rows, "text", start, "doc_id long, n_tokens long, ids array<int>, decoded string"
+        rows, "text", start, "doc_id long, n_tokens long, ids array<int>, decoded string", LOOKED_UP
     )
 
 
@@ -400,7 +402,7 @@ def packed(docs: DataFrame, path: str, width: int = 2) -> DataFrame:
         return each
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_chunks(rows, "text", start, "doc_id long, ids binary")
+    return map_chunks(rows, "text", start, "doc_id long, ids binary", LOOKED_UP)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -433,6 +435,5 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         return each
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_chunks(
-        rows, "text", start, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_chunks(rows, "text", start, schema, LOOKED_UP)

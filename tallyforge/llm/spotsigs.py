@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import chunks, kept_table, map_chunks, texts_of
+from tallyforge.llm.common import WordStore, chunks, kept_table, map_chunks, texts_of
 from tallyforge.llm.components import components
 
 #: Common words of English, French, German and Spanish.
@@ -35,23 +35,21 @@ CHAIN = 2
 DISTANCE = 1
 #: Bytes that end a word: ASCII other than letters and digits.
 SPLIT = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
-KEPT_WORDS = 500_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Codes(dict):
-    """Word to its hash, with two marks in the low bits: 1 common, 2 starts a chain."""
+def _code(word: bytes) -> int:
+    """The hash of a word, with two marks in the low bits: 1 common, 2 starts a chain."""
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(word)
+    common = word in ANCHORS
+    starts = common or (h >> 32) % 16 == 0
+    return h & ~3 | common | starts << 1
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word)
-        common = word in ANCHORS
-        starts = common or (h >> 32) % 16 == 0
-        code = self[word] = h & ~3 | common | starts << 1
-        return code
+def _codes() -> WordStore:
+    return WordStore(_code)
 
 
 def signatures(text: str, codes: dict[bytes, int]) -> np.ndarray:
@@ -101,7 +99,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     empty."""
 
     def start():
-        codes = _Codes()
+        codes = _codes()
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [signatures(t, codes) for t in texts_of(batch)]
@@ -242,7 +240,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes()
+        codes = _codes()
         waiting = None
         for batch in batches:
             for piece in chunks(batch, "text"):

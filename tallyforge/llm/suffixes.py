@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.anchors import LENGTH, Strings, _mixed, pieces
-from tallyforge.llm.common import chunks, numbered
+from tallyforge.llm.common import chunks, located, numbered, opened, tidy
 from tallyforge.session import shared_folder
 
 #: What becomes of an anchor's strings: all repeat; to be laid open; the same, for keys with
@@ -202,7 +202,10 @@ class _Notes:
         import pyarrow.dataset as dataset
         from pyarrow import fs
 
-        store, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, path = opened(folder)
+        # A partition may have no notes, but then the folder is there all the same
+        if store.get_file_info(path).type != fs.FileType.Directory:
+            raise FileNotFoundError(f"the notes in {folder} can't be reached from this task")
         path = f"{path}/part={part}"
         self.columns = {c: np.zeros(0, np.int64) for c in ("row", *columns)}
         if store.get_file_info(path).type != fs.FileType.NotFound:
@@ -348,11 +351,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _write_notes(df: DataFrame, name: str) -> str:
-    """One folder for each partition of the documents."""
+    """One folder for each partition of the documents; the path is one that tasks can open."""
     path = f"{shared_folder(df.sparkSession)}/tallyforge-llm/{name}-{uuid.uuid4().hex}"
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df.repartition(parts, "part").write.partitionBy("part").parquet(path)
-    return path
+    return located(df.sparkSession, path)
 
 
 def repeats(docs: DataFrame, row: str) -> tuple[str, str]:
@@ -372,20 +375,20 @@ def repeats(docs: DataFrame, row: str) -> tuple[str, str]:
     # A repeat or a hot anchor needs no meeting: dealt by its document
     meets = F.when(F.col("state").isin(MARK, NORMAL), F.col("key")).otherwise(F.col("row"))
     judged = (
-        rows.mapInArrow(_find, shape)
+        rows.mapInArrow(tidy(_find), shape)
         .repartition(parts, meets)
         .sortWithinPartitions("key", F.col("state") != MARK, "region", "doc_id", "spot")
-        .mapInArrow(_judge, NOTES.format("spot array<long>, key array<long>, what array<long>"))
+        .mapInArrow(tidy(_judge), NOTES.format("spot array<long>, key array<long>, what array<long>"))
     )
     first = _write_notes(judged, "anchors")
     found = (
         rows.mapInArrow(
-            _opened(first),
+            tidy(_opened(first)),
             "key long, doc_id long, row long, spot long, kind long, line binary",
         )
         .repartition(parts, "key")
         .sortWithinPartitions("doc_id", "spot")
-        .mapInArrow(_scan, NOTES.format("place array<long>, n array<long>"))
+        .mapInArrow(tidy(_scan), NOTES.format("place array<long>, n array<long>"))
     )
     return first, _write_notes(found, "strings")
 
@@ -455,7 +458,7 @@ def digests(docs: DataFrame) -> DataFrame:
         )
 
     return rows.mapInArrow(
-        _cutter(folders, each),
+        tidy(_cutter(folders, each)),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     )
 
@@ -486,4 +489,4 @@ def cut(docs: DataFrame) -> DataFrame:
             out = out.set_column(at, "n_chars", pa.array(counts, old.type))
         return out.filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(_cutter(folders, each), schema)
+    return rows.mapInArrow(tidy(_cutter(folders, each)), schema)

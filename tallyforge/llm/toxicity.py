@@ -16,14 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import kept_table, map_chunks, texts_of
+from tallyforge.llm.common import WordStore, kept_table, map_chunks, texts_of
 
 WORDS = re.compile(r"[^\W\d_]+").findall
 #: Lengths of the word beginnings that count as features, for inflected words.
 STEMS = (4, 5, 6)
 GRADES = 3
-#: Words whose features a task keeps; beyond it the store starts anew.
-KEPT_WORDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -46,18 +44,11 @@ def _names(word: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in STEMS if len(word) > n)]
 
 
-class _Chosen(dict):
-    """Word to its features among the chosen ones, made when first asked for."""
+class _Chosen(WordStore):
+    """Word to its features among the chosen ones."""
 
     def __init__(self, features):
-        super().__init__()
-        self.features = features
-
-    def __missing__(self, word: str) -> tuple[str, ...]:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        found = self[word] = tuple(f for f in _names(word) if f in self.features)
-        return found
+        super().__init__(lambda word: tuple(f for f in _names(word) if f in features))
 
     def count(self, text: str) -> Counter:
         hits = [f for f in map(self.__getitem__, WORDS(text.lower())) if f]

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.llm import decontaminate, lattice, order, pieces, simhash, spotsigs, suffixes
 from tallyforge.llm.queries import QUERIES, tokenizer
@@ -249,15 +250,68 @@ def test_shards_of_nothing(docs, tmp_path):
     assert (where.count(), shards.count(), n) == (0, 0, 0)
 
 
-def test_a_frame_that_changes_is_an_error(spark, docs, tmp_path):
-    import os
-
-    from pyspark.sql import functions as F
-
-    other = F.udf(lambda: "x" * (os.urandom(2)[0] + 1)).asNondeterministic()
-    grown = docs(invented(4, 30)).withColumn("text", other())
-    with pytest.raises(Exception, match="changed between two passes"):
-        order.write_shards(grown, str(tmp_path), length=64)
+def test_splits_may_change_between_passes(spark, docs, tmp_path, monkeypatch):
+    pairs = [*invented(4, 60), *ODD]
+    df = docs(pairs, 1)
+    real, passes = order.kept_table, []
+
+    def other_splits(frame, *names):
+        # From now on each file is read in several parts, dealt out in another order
+        kept = real(frame, *names)
+        passes.append(names[0])
+        return kept.repartition(7, "doc_id").sortWithinPartitions(F.desc("at")) if names[0] == "placed" else kept
+
+    where, shards, n = order.write_shards(df, str(tmp_path / "a"), 64, 50)
+    monkeypatch.setattr(order, "kept_table", other_splits)
+    again, others, m = order.write_shards(df, str(tmp_path / "b"), 64, 50)
+    assert passes == ["placed", "shards"] and n == m
+    assert rows_of(where) == rows_of(again) and rows_of(shards) == rows_of(others)
+    for file in (tmp_path / "a").iterdir():
+        assert file.read_bytes() == (tmp_path / "b" / file.name).read_bytes()
+
+
+def test_attempts_at_a_shard_do_not_meet(docs, tmp_path):
+    df = docs(invented(5, 30), 2)
+    one = rows_of(order.write_shards(df, str(tmp_path / "s"), 64, 50)[1])
+    # What an attempt that was lost has left behind is in nobody's way
+    for file in list((tmp_path / "s").iterdir()):
+        (tmp_path / "s" / f".{file.name}-lost").write_bytes(b"half")
+    assert rows_of(order.write_shards(df, str(tmp_path / "s"), 64, 50)[1]) == one
+    whole = sorted(f.name for f in (tmp_path / "s").iterdir() if not f.name.startswith("."))
+    assert whole == [order.name(r[0]) for r in one]
+
+
+def test_notes_that_are_not_there_are_an_error(docs, tmp_path, monkeypatch):
+    line = "passage " * 20
+    df = docs([(i, f"{i} {line}") for i in range(6)], 2)
+    real = suffixes._write_notes
+    monkeypatch.setattr(suffixes, "_write_notes", lambda *a: real(*a) + "-elsewhere")
+    with pytest.raises(Exception, match="can't be reached"):
+        suffixes.digests(df).collect()
+
+
+def test_folders_without_a_scheme_are_those_of_the_session(spark, docs, tmp_path):
+    from tallyforge import storage
+    from tallyforge.llm.common import located, opened
+
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    (tmp_path / "there").mkdir()
+    line = " ".join(f"w{i}" for i in range(60))
+    df = docs([(i, f"{i} {line}") for i in range(6)], 2)
+    want = rows_of(suffixes.digests(df))
+    try:
+        conf.set("fs.viewfs.mounttable.store.link./tmp", "file:///tmp")
+        conf.set("fs.defaultFS", "viewfs://store/")
+        assert located(spark, "/tmp/x") == "viewfs://store/tmp/x"
+        assert storage.exists(spark, "/tmp")
+        # pyarrow doesn't know this store: an error, and no notes that count as empty
+        with pytest.raises(Exception, match="viewfs|scheme|FileSystem"):
+            suffixes.digests(df).collect()
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert sum(r[2] > 0 for r in want) == 5 and rows_of(suffixes.digests(df)) == want
+    assert opened("file:/a/b")[1] == opened("/a/b")[1] == "/a/b"
 
 
 # SpotSigs
@@ -300,7 +354,7 @@ def test_pruned_likeness_is_exact_above_the_bound():
 
 def test_near_documents_find_all_links(docs):
     pairs = invented(7, 90, 15)
-    codes = spotsigs._Codes()
+    codes = spotsigs._codes()
     found = {i: spotsigs.signatures(t, codes) for i, t in pairs}
     group = {i: {i} for i in found}
     for a in found:
