@@ -36,11 +36,14 @@ def parse_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_ratings(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as rating lines; those of returned items have no comma."""
+    """Line items as rating lines in two folders; those of returned items have no comma."""
     items = table(spark, folder, "lineitem")
     cells = [F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_quantity", "l_linenumber")]
     line = F.when(F.col("l_returnflag") == "R", cells[0]).otherwise(F.concat_ws(",", *cells))
-    return ratings.read_ratings(spark, _lines(items, line))
+    early = F.col("l_linenumber") < 4
+    return ratings.read_ratings(
+        spark, _lines(items.filter(early), line), _lines(items.filter(~early), line)
+    )
 
 
 def read_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,6 +99,18 @@ def read_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
     return _by_product(sales.read_order_items(spark, path))
 
 
+def read_order_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as reviews in quoted cells that hold line breaks, separators and quotes."""
+    path = new_run_folder(spark, "order-reviews")
+    comment = F.concat(F.lit('say ";"\n'), F.coalesce("text", F.lit("")), F.lit("\n"))
+    rows = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("Order_ID"), comment.alias("Review"), F.col("n_chars").alias("Review_Score")
+    )
+    writer = rows.repartition(4).write.option("sep", ";").option("header", True)
+    writer.option("quoteAll", True).option("escape", '"').csv(path)
+    return sales.read_order_reviews(spark, path)
+
+
 def tsv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as tab-separated lines, which hold every character of the texts."""
     path = new_run_folder(spark, "tsv")
@@ -121,6 +136,7 @@ QUERIES = {
     "read_items": read_items,
     "read_order_items": read_order_items,
     "read_mixed_headers": read_mixed_headers,
+    "read_order_reviews": read_order_reviews,
     "tsv_round_trip": tsv_round_trip,
     "csv_round_trip": csv_round_trip,
 }
@@ -152,6 +168,9 @@ SQL = {
       FROM part""",
     "read_order_items": _sums_by_product("l_quantity"),
     "read_mixed_headers": _sums_by_product("CASE WHEN l_linenumber % 3 <> 2 THEN l_quantity END"),
+    "read_order_reviews": """
+      SELECT CAST(doc_id AS VARCHAR) AS order_id, CAST(n_chars AS VARCHAR) AS review_score
+      FROM documents""",
     "tsv_round_trip": r"""
       SELECT doc_id, sha256(replace(replace(replace(replace(coalesce(text, ''),
              '\', '\\'), chr(9), '\t'), chr(10), '\n'), chr(13), '\r')) AS line_sha256

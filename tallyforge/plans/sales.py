@@ -60,8 +60,10 @@ def _reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinct_totals(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _orders(spark, folder)
-    return ops.distinct_totals(orders, orders, _items(spark, folder))
+    """Customers are those of the customer table, with or without an order."""
+    return ops.distinct_totals(
+        _orders(spark, folder), _customers(spark, folder), _items(spark, folder)
+    )
 
 
 def orders_by_country(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,7 +171,7 @@ def _first_lines(condition: str) -> str:
 SQL = {
     "distinct_totals": """
       SELECT 'orders' AS metric, count(*) AS total FROM (SELECT DISTINCT o_orderkey FROM orders)
-      UNION ALL SELECT 'customers', count(*) FROM (SELECT DISTINCT o_custkey FROM orders)
+      UNION ALL SELECT 'customers', count(*) FROM (SELECT DISTINCT c_custkey FROM customer)
       UNION ALL SELECT 'sellers', count(*) FROM (SELECT DISTINCT l_suppkey FROM lineitem)""",
     "orders_by_country": """
       SELECT n_name AS country, count(*) AS total_orders
