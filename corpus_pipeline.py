@@ -52,6 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written and read again: doc_id, n_tokens, ids, decoded.
+
+    Null texts count as empty and have no tokens; rows without doc_id are kept, but for near copies of
+    others; of repeated rows one stays, as of any group of near copies. Without labels of both
+    kinds no document is toxic, without benchmark items nothing is cut for them; an empty table
+    of documents gives no rows. Further columns go through all stages but the last.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = kept_table(stage(spark, docs, sf_dir), name)
