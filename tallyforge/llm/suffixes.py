@@ -439,7 +439,9 @@ def _cutter(folders: tuple[str, str], each):
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row for each of `docs`. Null
-    texts count as empty."""
+    texts count as empty; of repeated rows the later ones lose what they share; rows without
+    doc_id count as last; an empty table gives no rows; a text may be of any length, and further
+    columns are left out."""
     rows, row = numbered(docs.select(F.col("doc_id").cast("long"), "text"))
     folders = repeats(rows, row)
 
