@@ -56,12 +56,14 @@ class _Chosen(WordStore):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """doc_id, text, toxic of at most `rows` labelled documents, chosen by a digest of the
-    doc_id. Labels without doc_id or toxic are left out; of several the worst counts."""
+    """doc_id, text, toxic (0 or 1) and worst (the label itself) of at most `rows` labelled
+    documents, chosen by a digest of the doc_id. Labels without doc_id or toxic are left out; of
+    several the worst counts."""
     marks = (
         labels.where("doc_id is not null and toxic is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+        .agg(F.max("toxic").cast("int").alias("worst"))
+        .withColumn("toxic", (F.col("worst") > 0).cast("int"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
@@ -84,9 +86,11 @@ def fit(
 
     The `features` words and beginnings that differ most between the labels (signed root of
     the log-likelihood ratio, in 3 documents or more) are chosen by Spark; the driver gets
-    only their counts in the sample. Labels are 0 and 1: toxic documents are graded 1 or 2
-    by whether fewer or more of the telling words stand in them than in half of the toxic
-    ones. Without labels of both kinds the model has no weights and grades all 0.
+    only their counts in the sample. Labels above 0 are toxic. Where they have more than two
+    values, those are the grades, in their order. Where they are 0 and 1, toxic documents are
+    graded 1 or 2 by whether fewer or more of the telling words stand in them than in half of
+    the toxic ones, so that severity tells the amount of such words and no more. Without labels
+    of both kinds, as in an empty table, the model has no weights and grades all 0.
     """
     sample = kept_table(labelled(docs, labels, rows), "labelled")
     sizes = dict(sample.groupBy("toxic").count().collect())
@@ -140,29 +144,33 @@ def fit(
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    batch.column("toxic"),
+                    batch.column("worst"),
                     pa.array([[place[f] for f in c] for c in found], pa.list_(pa.int32())),
                     pa.array([list(c.values()) for c in found], pa.list_(pa.int32())),
                 ],
-                ["doc_id", "toxic", "at", "n"],
+                ["doc_id", "worst", "at", "n"],
             )
 
         return each
 
-    shape = "doc_id long, toxic int, at array<int>, n array<int>"
+    shape = "doc_id long, worst int, at array<int>, n array<int>"
     got = sorted(map_chunks(sample, "text", vectors, shape).collect())
     x = np.zeros((len(got), len(place)), np.float32)
     for row, r in zip(x, got, strict=True):
         row[r.at] = 1 + np.log(r.n)
-    bad = np.array([r.toxic for r in got], bool)
-    amount = x[:, telling].sum(1)
-    grade = bad.astype(int) + (bad & (amount > np.median(amount[bad])))
-    w, thresholds = _regress(x, grade, penalty, steps)
+    worst = np.maximum([r.worst for r in got], 0)
+    if len(given := np.unique(worst)) > 2:
+        grade = np.searchsorted(given, worst)
+    else:
+        bad = worst > 0
+        amount = x[:, telling].sum(1)
+        grade = bad.astype(int) + (bad & (amount > np.median(amount[bad])))
+    w, thresholds = _regress(x, grade, penalty, steps, max(GRADES, len(given)))
     return Model({f: float(w[i]) for f, i in place.items() if w[i]}, thresholds)
 
 
 def _regress(
-    x: np.ndarray, grade: np.ndarray, penalty: float, steps: int
+    x: np.ndarray, grade: np.ndarray, penalty: float, steps: int, grades: int = GRADES
 ) -> tuple[np.ndarray, tuple[float, ...]]:
     """Weights and thresholds by proximal gradient steps with momentum."""
     n = len(x)
@@ -172,7 +180,7 @@ def _regress(
         size = float(np.linalg.norm(v)) or 1.0
         v /= size
     pace = 1.0 / (size / n / 2 + 1.0)
-    shares = np.cumsum(np.bincount(grade, minlength=GRADES) + 0.5) / (n + 0.5 * GRADES)
+    shares = np.cumsum(np.bincount(grade, minlength=grades) + 0.5) / (n + 0.5 * grades)
     cuts = np.log(shares[:-1] / (1 - shares[:-1]))
     w = np.zeros(x.shape[1], np.float32)
     old_w, old_cuts = w.copy(), cuts.copy()
@@ -186,7 +194,7 @@ def _regress(
         d_high, d_low = high * (1 - high) / p, low * (1 - low) / p
         slope = x.T @ ((d_high - d_low) / n).astype(np.float32)
         d_cuts = np.array(
-            [(d_low[grade == k + 1].sum() - d_high[grade == k].sum()) / n for k in range(GRADES - 1)]
+            [(d_low[grade == k + 1].sum() - d_high[grade == k].sum()) / n for k in range(grades - 1)]
         )
         old_w, old_cuts = w, cuts
         w = at_w - pace * slope
@@ -213,7 +221,8 @@ def _scored(model: Model):
 def severity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, severity (expected grade), grade (the likeliest, the lower of equals),
     p_toxic (probability of any grade above 0), toxic (p_toxic of a half or more), one row
-    for each of `docs`; null texts count as empty."""
+    for each of `docs`; null texts count as empty, repeated rows and null ids stay, further
+    columns are left out, an empty table gives no rows."""
 
     def start():
         scores = _scored(model)
@@ -224,7 +233,7 @@ def severity(docs: DataFrame, model: Model) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(p @ np.arange(GRADES)),
+                    pa.array(p @ np.arange(p.shape[1])),
                     pa.array(p.argmax(1).astype(np.int32)),
                     pa.array(bad),
                     pa.array(bad >= 0.5),
