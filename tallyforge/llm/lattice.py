@@ -35,6 +35,8 @@ COUNTED_WORDS = 400_000
 KNOWN_WORDS = 200_000
 #: Words of one length in one step of the recursion.
 BATCH = 16_384
+#: Longer words, in code points, go one by one, in stretches of so many places.
+LONG, STRETCH = 256, 1 << 15
 #: Rows and bytes of words that a task takes at once: cut by model and length, the few of one
 #: Arrow batch would leave numpy only short arrays.
 GATHERED_WORDS, GATHERED_BYTES = 1 << 17, 8 << 20
@@ -52,6 +54,26 @@ def words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def coded(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The `words` of all texts of a batch, one after the other, as places in an array of the
+    different ones; that array; and how many words there are up to the end of each text."""
+    texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
+    raw = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+    blank = _BLANK[raw]
+    begins = np.flatnonzero(~blank & np.r_[True, blank[:-1]])
+    ends = np.flatnonzero(~blank & np.r_[blank[1:], True]) + 1
+    offsets = np.r_[0, np.cumsum(ends - begins)].astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[~blank])]
+    found = pa.Array.from_buffers(pa.binary(), len(begins), buffers).dictionary_encode()
+    borders = np.cumsum([len(t) + 1 for t in texts])
+    at = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return at, found.dictionary, np.searchsorted(begins, borders)
+
+
 def vocabulary(path: str) -> tuple[list[str], list[float]]:
     """Pieces of a SentencePiece model and first log weights. Scores that are ranks, as in
     BPE models, count as such: a piece's weight falls as one over its rank."""
@@ -88,6 +110,10 @@ class Lattice:
                 self.hashes[at] = h
         # Two tables of slots: the second holds what finds the first taken
         self.slots = []
+        size = STRETCH + self.longest
+        inverse = np.uint64(pow(int(FACTOR), -1, 1 << 64))
+        self.up = np.cumprod(np.r_[np.uint64(1), np.full(size, FACTOR)])
+        self.down = np.cumprod(np.full(size, inverse))
         rest = np.arange(len(pieces))
         for spread in SPREAD:
             slot = np.full(1 << SLOTS, len(pieces), np.int32)
@@ -131,11 +157,13 @@ class Lattice:
         return out
 
     def batches(self, tokens: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places and code points of words of one length, the space mark in front."""
+        """Places and code points of words of one length, the space mark in front; not of long
+        ones."""
         sizes = np.array([len(t) + 1 for t in tokens], int)
         order = np.argsort(sizes, kind="stable")
+        order = order[sizes[order] <= LONG]
         cuts = np.flatnonzero(np.diff(sizes[order])) + 1
-        for same in np.split(order, cuts):
+        for same in np.split(order, cuts) if len(order) else []:
             for i in range(0, len(same), BATCH):
                 part = same[i : i + BATCH]
                 line = "".join([SPACE + tokens[k] for k in part.tolist()])
@@ -150,6 +178,61 @@ class Lattice:
             alpha[end][rows] = np.logaddexp(alpha[end][rows], way)
         return alpha
 
+    def long_words(self, tokens: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """Places and code points of the long words."""
+        for i, token in enumerate(tokens):
+            if len(token) >= LONG:
+                yield i, np.frombuffer((SPACE + token).encode("utf-32-le"), np.uint32).astype(np.uint64)
+
+    def _stretch(self, codes: np.ndarray, low: int, high: int) -> tuple[np.ndarray, ...]:
+        """Begins, ends, pieces and numbers of the edges of one word that end behind `low` and not
+        behind `high`, ends ascending."""
+        none = len(self.hashes) - 1
+        a = max(0, low - self.longest)
+        part = codes[a:high]
+        m = len(part)
+        # Hashes of all beginnings at once: each place's share is its own factor
+        sums = np.r_[np.uint64(0), np.cumsum((part + np.uint64(1)) * self.down[:m])] * self.up[: m + 1]
+        found = []
+        for size in range(1, min(self.longest, m) + 1):
+            at = self._find(sums[size:] - sums[:-size] * self.powers[size])
+            rows = np.flatnonzero(at != none)
+            found.append((rows, rows + size, at[rows], np.ones(len(rows), np.int64)))
+            if size == 1:
+                rows = np.flatnonzero(at == none)
+                c = part[rows]
+                n = 1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF)
+                found.append((rows, rows + 1, at[rows], n))
+        begin, end, at, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        keep = np.flatnonzero(end + a > low)
+        keep = keep[np.argsort(end[keep], kind="stable")]
+        return begin[keep] + a, end[keep] + a, at[keep], n[keep]
+
+    def _long_forward(self, codes: np.ndarray, weights: np.ndarray) -> list[float]:
+        """As `_forward`, for one word."""
+        alpha = [0.0] + [-math.inf] * len(codes)
+        for low in range(0, len(codes), STRETCH):
+            begin, end, at, n = self._stretch(codes, low, min(low + STRETCH, len(codes)))
+            for b, e, way in zip(begin.tolist(), end.tolist(), (weights[at] * n).tolist(), strict=True):
+                alpha[e] = _log_add(alpha[e], alpha[b] + way)
+        return alpha
+
+    def _long_expected(self, codes: np.ndarray, weights: np.ndarray, total: np.ndarray, times: float) -> None:
+        """As `expected`, for one word and model."""
+        alpha = self._long_forward(codes, weights)
+        beta = [-math.inf] * len(codes) + [0.0]
+        forward = np.array(alpha)
+        for low in reversed(range(0, len(codes), STRETCH)):
+            begin, end, at, n = self._stretch(codes, low, min(low + STRETCH, len(codes)))
+            ways = weights[at] * n
+            for b, e, way in zip(
+                reversed(begin.tolist()), reversed(end.tolist()), reversed(ways.tolist()), strict=True
+            ):
+                beta[b] = _log_add(beta[b], beta[e] + way)
+            behind = np.array(beta[low : low + STRETCH + 1])[end - low]
+            share = np.exp(forward[begin] + ways + behind - alpha[-1]) * times * n
+            total += np.bincount(at, share, len(total))
+
     def log_probability(self, tokens: list[str]) -> np.ndarray:
         """One row a word, one column a model."""
         out = np.zeros((len(tokens), len(self.weights)))
@@ -157,6 +240,9 @@ class Lattice:
             edges = self._edges(codes)
             for k, weights in enumerate(self.weights):
                 out[part, k] = self._forward(codes, edges, weights)[-1]
+        for i, codes in self.long_words(tokens):
+            for k, weights in enumerate(self.weights):
+                out[i, k] = self._long_forward(codes, weights)[-1]
         return out
 
     def expected(self, tokens: list[str], counts: np.ndarray) -> np.ndarray:
@@ -178,9 +264,17 @@ class Lattice:
                     share = np.exp(alpha[begin][rows] + behind - alpha[-1][rows])
                     share *= n[rows] * size
                     total[k] += np.bincount(at, share, total.shape[1])
+            for i, codes in self.long_words([tokens[j] for j in own.tolist()]):
+                self._long_expected(codes, weights, total[k], counts[own[i], k])
         return total
 
 
+def _log_add(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
 def trains(doc_id: Column) -> Column:
     """Documents whose crc32 of the doc_id as text leaves no 2 by 7; without doc_id, as if
     its text were empty."""
@@ -205,16 +299,19 @@ def word_counts(docs: DataFrame, names: list[str]) -> DataFrame:
         seen = [Counter() for _ in names]
         for batch in batches:
             for part in chunks(batch, "text"):
-                train = part.column("train").to_pylist()
-                langs = part.column("lang").to_pylist()
-                held: set[bytes] = set()
-                for text, counts, lang in zip(texts_of(part), train, langs, strict=True):
-                    if counts:
-                        seen[place.get(lang, place[""])].update(words(text))
+                at, kinds, ends = coded(part)
+                model = [place.get(lang, place[""]) for lang in part.column("lang").to_pylist()]
+                # Held-out words count nothing, but are there
+                model = np.where(part.column("train").to_numpy(zero_copy_only=False), model, len(names))
+                model = np.repeat(model.astype(np.int64), np.diff(np.r_[0, ends]))
+                pairs, n = np.unique(at * (len(names) + 1) + model, return_counts=True)
+                own = kinds.to_pylist()
+                for pair, count in zip(pairs.tolist(), n.tolist(), strict=True):
+                    word, k = divmod(pair, len(names) + 1)
+                    if k < len(names):
+                        seen[k][own[word]] += count
                     else:
-                        held.update(words(text))
-                for word in held:
-                    seen[0][word] += 0
+                        seen[0][own[word]] += 0
                 if sum(map(len, seen)) > COUNTED_WORDS:
                     yield from counted(seen)
                     seen = [Counter() for _ in names]
@@ -224,7 +321,7 @@ def word_counts(docs: DataFrame, names: list[str]) -> DataFrame:
         for k, counts in enumerate(seen):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(counts), pa.string()),
+                    pa.array(list(counts), pa.binary()).cast(pa.string()),
                     pa.array(np.full(len(counts), k, np.int32)),
                     pa.array(list(counts.values()), pa.int64()),
                 ],
@@ -256,12 +353,18 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return flat.reshape(len(column), width) if len(flat) else np.zeros((0, width))
 
 
+def first_weights(path: str) -> np.ndarray:
+    """Log probabilities of the pieces and a byte by the vocabulary's own scores alone."""
+    pieces, first = vocabulary(path)
+    weights = np.array([*first, -math.log(len(pieces))])
+    return weights - np.logaddexp.reduce(weights)
+
+
 def learn(counts: DataFrame, models: int, path: str, rounds: int = ROUNDS) -> np.ndarray:
     """Log probabilities of the pieces and a byte, one row a model, from the training
     counts of all words. The driver gets one sum for each model and piece."""
-    pieces, first = vocabulary(path)
-    weights = np.array([*first, -math.log(len(pieces))])
-    weights = np.tile(weights - np.logaddexp.reduce(weights), (models, 1))
+    pieces, _ = vocabulary(path)
+    weights = np.tile(first_weights(path), (models, 1))
     seen = counts.where(F.exists("cs", lambda c: c > 0))
     for _ in range(rounds):
 
@@ -292,13 +395,17 @@ def learn(counts: DataFrame, models: int, path: str, rounds: int = ROUNDS) -> np
 
 
 def score(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; one row for each
-    of `docs`. Null texts have the end alone; repeated rows are repeated in counts and out.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, vocabulary_score; one
+    row for each of `docs`. Null texts have the end alone; repeated rows are repeated in counts
+    and out, null ids stay, further columns are left out, an empty table gives no rows. Time is
+    linear in a word, too, however long it is.
 
     base_score adds log10((c + 1) / (N + V + 1)) over the tokens, with the training counts c
     of words and ends, their sum N and number V. score is the log10 of the sum over the
     languages k of share_k times the product of ((c_k - D) + D V_k lattice_k(word)) / N_k
-    over the words and ends_k / N_k for the end.
+    over the words and ends_k / N_k for the end. vocabulary_score adds the log10 of the sum over all
+    segmentations of each word under the vocabulary's own weights, with nothing learnt from the
+    documents.
     """
     lang = F.col("lang") if "lang" in docs.columns else F.lit("")
     rows = docs.select(
@@ -335,15 +442,20 @@ def score(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFra
     log_share = np.log10((ends + 0.01) / (ends.sum() + 0.01 * models))
     log_end = np.log10((ends + 0.5) / sums)
 
+    # One model more: the vocabulary as it comes
+    weights = np.concatenate([weights, first_weights(path)[None]])
+    columns = models + 1
+
     def scored(batches):
         lattice = Lattice(pieces, weights)
         for batch in gathered(batches):
             seen = _matrix(batch.column("cs"), models)
-            cut = lattice.log_probability(batch.column("word").to_pylist()) + np.log(kinds)
+            cut = lattice.log_probability(batch.column("word").to_pylist())
             with np.errstate(divide="ignore"):
                 kept = np.log(np.maximum(seen - discount, 0))
-            lp = (np.logaddexp(kept, cut) - np.log(sums)) / math.log(10)
-            width = np.arange(len(seen) + 1, dtype=np.int32) * models
+            own = np.logaddexp(kept, cut[:, :models] + np.log(kinds)) - np.log(sums)
+            lp = np.c_[own, cut[:, models]] / math.log(10)
+            width = np.arange(len(seen) + 1, dtype=np.int32) * columns
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("word"),
@@ -360,45 +472,41 @@ def score(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFra
     def start():
         top = known.value
         cs = np.array(top.column("c").to_pylist(), np.int64)
-        lps = np.array(top.column("lp").to_pylist(), float).reshape(-1, models)
-        base = np.log10(cs + 1) - whole
+        lps = np.array(top.column("lp").to_pylist(), float).reshape(-1, columns)
+        # For each known word: whether training has it, its base, its columns; zeros for others
+        values = np.zeros((len(cs) + 1, 2 + columns))
+        values[:-1] = np.c_[cs > 0, np.log10(cs + 1) - whole, lps]
         here = {w.encode(): i for i, w in enumerate(top.column("word").to_pylist())}
+        always = np.r_[
+            float(ends.sum() > 0), math.log10(ends.sum() + 1) - whole, log_share + log_end, 0.0
+        ]
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
-            for text in texts_of(batch):
-                seen = Counter(words(text))
-                at, k, rare, times = [], [], [], []
-                for word, count in seen.items():
-                    if (i := here.get(word)) is not None:
-                        at.append(i)
-                        k.append(count)
-                    else:
-                        rare.append(word)
-                        times.append(count)
-                n = np.array(k, float)
-                out.append(
-                    (
-                        1 + seen.total(),
-                        int(ends.sum() > 0) + int(n[cs[at] > 0].sum()),
-                        math.log10(ends.sum() + 1) - whole + float(base[at] @ n),
-                        log_share + log_end + n @ lps[at],
-                        rare,
-                        times,
-                    )
-                )
-            tokens, old, bases, lp, rare, times = zip(*out, strict=True)
+            at, kinds, borders = coded(batch)
+            place = np.array([here.get(w, -1) for w in kinds.to_pylist()], np.int64)
+            n = np.diff(np.r_[0, borders])
+            text = np.repeat(np.arange(len(n)), n)
+            # Different words of each text, with their counts
+            pairs, times = np.unique(text * max(len(kinds), 1) + at, return_counts=True)
+            text, at = np.divmod(pairs, max(len(kinds), 1))
+            sums = np.tile(always, (len(n), 1))
+            parts = values[place[at]] * times[:, None] if len(at) else np.zeros((0, 2 + columns))
+            for k in range(2 + columns):
+                sums[:, k] += np.bincount(text, parts[:, k], len(n))
+            rare = np.flatnonzero(place[at] < 0) if len(at) else np.zeros(0, np.int64)
+            offsets = pa.array(np.r_[0, np.cumsum(np.bincount(text[rare], minlength=len(n)))].astype(np.int32))
+            lists = np.arange(len(n) + 1, dtype=np.int32) * columns
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
                     batch.column("doc_id"),
                     pa.array([not t for t in batch.column("train").to_pylist()]),
-                    pa.array(tokens, pa.int64()),
-                    pa.array(old, pa.int64()),
-                    pa.array(bases, pa.float64()),
-                    pa.array([x.tolist() for x in lp], pa.list_(pa.float64())),
-                    pa.array(rare, pa.list_(pa.string())),
-                    pa.array(times, pa.list_(pa.int32())),
+                    pa.array(n + 1, pa.int64()),
+                    pa.array(np.rint(sums[:, 0]).astype(np.int64)),
+                    pa.array(sums[:, 1]),
+                    pa.ListArray.from_arrays(lists, sums[:, 2:].ravel()),
+                    pa.ListArray.from_arrays(offsets, kinds.take(pa.array(at[rare])).cast(pa.string())),
+                    pa.ListArray.from_arrays(offsets, times[rare].astype(np.int32)),
                 ],
                 ["row", "doc_id", "held_out", "n_tokens", "old", "base", "lp", "rare", "times"],
             )
@@ -422,7 +530,7 @@ def score(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFra
         .agg(
             F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("more"),
             exact(F.col("k") * (F.log10(F.col("c") + 1) - whole)).alias("base_more"),
-            *(exact(F.col("k") * F.col("lp")[k]).alias(f"lp{k}") for k in range(models)),
+            *(exact(F.col("k") * F.col("lp")[k]).alias(f"lp{k}") for k in range(columns)),
         )
     )
     added = lambda a, b: a + F.coalesce(F.col(b) / DIGITS, F.lit(0.0))
@@ -441,5 +549,6 @@ def score(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFra
             F.lit(n).cast("long").alias("train_tokens"),
             added(F.col("base"), "base_more").alias("base_score"),
             (F.col("best") + F.log10(total)).alias("score"),
+            added(F.col("lp")[models], f"lp{models}").alias("vocabulary_score"),
         )
     )
