@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import WordStore, chunks, kept_table, map_chunks, texts_of
+from tallyforge.llm.common import WordStore, chunks, kept_table, map_chunks, texts_of, tidy
 from tallyforge.llm.components import components
 
 #: Common words of English, French, German and Spanish.
@@ -223,7 +223,7 @@ def _dealt(docs: DataFrame, parts: int) -> DataFrame:
     dealt = named.select("doc_id", "text", F.explode(where).alias("w")).where("w is not null")
     return (
         dealt.select("w.part", "w.after", "doc_id", "text")
-        .repartition(parts, "part")
+        .repartitionById(parts, "part")
         .sortWithinPartitions("part", "after", F.desc_nulls_last("doc_id"), "text")
     )
 
@@ -235,7 +235,10 @@ def compare_edited(docs: DataFrame) -> DataFrame:
 
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and
     near_next (likeness of the fingerprint to the edited text's and the next document's).
-    Each text is shuffled once, into ranges of ids; neighbours meet within a range.
+    Each text is shuffled once, into ranges of ids, one task each; neighbours meet within a range.
+    Null texts count as empty, repeated rows stay, further columns are left out, an empty table gives
+    no rows; a text may be of any length. All rows of one id, and all without, are one range: a
+    table with very many of them makes a long task.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -261,7 +264,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(out, SCHEMA)
 
     return _dealt(docs, parts).mapInArrow(
-        run,
+        tidy(run),
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
         " edited_fingerprint string, near_edited double, near_next double",
     )
