@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge import schemas
 from tallyforge.operators import frames
+from tallyforge.plans import streams
 from tallyforge.sinks.messages import to_messages
 from tallyforge.sources.messages import stream_kafka, stream_lines
 from tallyforge.streaming import batches, detect, ingest, segments, stats, store
@@ -546,3 +547,75 @@ def test_numbers_that_are_none_are_rejected(spark):
     text = [json.dumps(r).replace("NaN", '"NaN"').replace("Infinity", '"Infinity"') for r in odd]
     checked = store.check_detections(lines(spark, *text, *map(json.dumps, odd), json.dumps(detection("d"))))
     assert [r.frame_id for r in store.good_detections(checked).collect()] == ["d"]
+
+
+@pytest.fixture
+def events_folder(spark, tmp_path):
+    """120 events over two hours, each with 0 to 4 persons."""
+    rows_ = [
+        (i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i, "view", i / 4, f'{{"k": {i % 5}}}')
+        for i in range(120)
+    ]
+    layout = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    folder = str(tmp_path / "tables")
+    spark.createDataFrame(rows_, layout).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+@pytest.fixture
+def run_folders(monkeypatch, tmp_path):
+    made = []
+    new = lambda spark, name: made.append(str(tmp_path / f"{name}-{len(made)}")) or made[-1]
+    monkeypatch.setattr(streams, "new_run_folder", new)
+    return made
+
+
+def data_files(folder):
+    return [n for n in os.listdir(folder) if n.startswith("part-")]
+
+
+@pytest.mark.parametrize("query", ["stream_store", "stream_resumed"])
+def test_messages_in_many_compressed_files(spark, events_folder, run_folders, monkeypatch, query):
+    monkeypatch.setattr(streams, "MESSAGES", 10)
+    found = streams.QUERIES[query](spark, events_folder).collect()
+    assert {int(r.frame_id): r.n_boxes for r in found} == {i: i % 5 for i in range(120)}
+    assert {r.camera_id for r in found} == {f"cam-{i}" for i in range(5)}
+    (run,) = run_folders
+    files = data_files(f"{run}/inbox")
+    # Messages in three batches, the first and the repeated corrections in two each
+    assert len(files) == 4 * (3 + 2 + 2) and all(n.endswith(".gz") for n in files)
+    commits = [n for n in os.listdir(f"{run}/checkpoint/commits") if n.isdecimal()]
+    assert len(commits) == 7
+    # What a batch was worked on with is gone
+    assert os.listdir(f"{run}/events/{store.STAGE}") == []
+
+
+def test_rejects_from_many_files(spark, events_folder, run_folders, monkeypatch):
+    monkeypatch.setattr(streams, "MESSAGES", 10)
+    found = streams.stream_rejects(spark, events_folder)
+    assert rows(found.groupBy("what").count()) == [("rejected", 120), ("stored", 120)]
+    # Detections and others in three batches each
+    assert len(data_files(f"{run_folders[0]}/inbox")) == 4 * (3 + 3)
+
+
+def test_boxes_of_one_folder_are_dealt_to_tasks(spark, run, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="1k",
+         spark__sql__adaptive__coalescePartitions__minPartitionSize="1k")
+    records = [(f"f{i:03}", i, i, i, i, 0.5) for i in range(2000)]
+    boxes = spark.createDataFrame(records, schemas.BOUNDING_BOXES).coalesce(1)
+    table = store.boxes_table(run.path("boxes"))
+    segments.append(table, boxes, "w", 0)
+    stored = segments.read(spark, table)
+    assert rows(stored) == rows(boxes) and len(stored.inputFiles()) > 1
+    assert segments.lookup(spark, table, "f007").count() == 1
+
+
+def test_only_repeated_frames_are_sorted(spark, run):
+    texts = [json.dumps(detection(f)) for f in ("f1", "f2")]
+    events = store.to_events(store.good_detections(store.check_detections(lines(spark, *texts))))
+    none = batches.written(events.select("frame_id").limit(0), run.path("none"), spark)
+    first = store.first_records(events, none)
+    # No sort of the records that are alone
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "SortMergeJoin" not in plan
+    assert [r.frame_id for r in first.orderBy("frame_id").collect()] == ["f1", "f2"]
