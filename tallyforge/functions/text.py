@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,12 +42,21 @@ def without_stopwords(text: Column, stopwords: Iterable[str]) -> Column:
 
 
 def without_words(text: Column, found: Column) -> Column:
-    """The same for an array of words of each row; null stands for none."""
-    stop = F.coalesce(found, F.array().cast("array<string>"))
-    kept = F.filter(
-        spaced_words(text), lambda token: (token != "") & ~F.array_contains(stop, token)
-    )
-    return trim_controls(F.array_join(kept, " "))
+    """The same for an array of words of each row; null stands for none. The words of a row are
+    looked up in a set, as an array is searched through for every word of the text."""
+
+    # Local, so that it travels to the workers by value
+    @F.pandas_udf("string")
+    def kept(words: pd.Series, found: pd.Series) -> pd.Series:
+        def joined(own, stop):
+            if own is None:
+                return None
+            listed = {""} if stop is None else {"", *stop}
+            return " ".join([word for word in own if word not in listed])
+
+        return pd.Series([joined(*row) for row in zip(words, found, strict=True)], dtype=object)
+
+    return trim_controls(kept(spaced_words(text), found))
 
 
 def shorten(text: Column, limit: int, keep: int) -> Column:

@@ -37,7 +37,8 @@ def clean_text(
     skewed side of a plain join, which Spark splits."""
     if isinstance(stopwords, DataFrame):
         df, found = _found_stopwords(df, text, stopwords)
-        cleaned = F.array(without_words(F.col(text), F.col(found)))
+        df = df.withColumn(found, without_words(F.col(text), F.col(found)))
+        cleaned = F.array(F.col(found))
     else:
         found, cleaned = None, F.array(without_stopwords(F.col(text), stopwords))
     kept = df.select("*", F.explode(F.filter(cleaned, lambda c: F.length(c) > 0)).alias(out))

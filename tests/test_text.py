@@ -1,5 +1,5 @@
 import pytest
-from helpers import lines, ordered, rows
+from helpers import final_plan, lines, ordered, rows
 from pyspark.sql import functions as F
 
 from tallyforge.operators import text as ops
@@ -130,3 +130,12 @@ def test_clean_text_from_list_or_table(spark, words):
 def test_class_totals_sum_to_the_rows(reviews):
     total = ops.count_by(reviews, "category").agg(F.sum("n")).first()[0]
     assert total == reviews.filter(F.length("category") > 0).count()
+
+
+def test_words_of_a_row_are_looked_up_in_a_set(spark):
+    texts = spark.createDataFrame([("The a\tB  the",), ("the",), (None,), ("  b ",)], "t string")
+    stop = spark.createDataFrame([("the",), ("x",)], "word string")
+    cleaned = ops.clean_text(texts, "t", stop)
+    assert rows(cleaned.select("cleaned")) == [("a b",), ("b",)]
+    # A search through the array for each word takes the square of a text's length
+    assert "array_contains" not in final_plan(cleaned)
