@@ -8,12 +8,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.plans.tables import money, table
+from tallyforge.plans.tables import files_of, money, table
 from tallyforge.session import new_run_folder
 from tallyforge.sinks import files
 from tallyforge.sources import ratings, reviews, sales
 
 
+#: Rows of a file of reviews, which one task reads.
+REVIEWS = 20_000
+
+
 def _lines(df: DataFrame, value: Column) -> str:
     """Text files of one value a line; their folder."""
     path = new_run_folder(df.sparkSession, "lines")
@@ -106,7 +110,7 @@ def read_order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select(
         F.col("doc_id").alias("Order_ID"), comment.alias("Review"), F.col("n_chars").alias("Review_Score")
     )
-    writer = rows.repartition(4).write.option("sep", ";").option("header", True)
+    writer = rows.repartition(4 * files_of(rows.count(), 4, REVIEWS)).write.option("sep", ";").option("header", True)
     writer.option("quoteAll", True).option("escape", '"').csv(path)
     return sales.read_order_reviews(spark, path)
 

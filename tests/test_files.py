@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyforge import jobs
 from tallyforge.operators.keyed import numbered, rank_by
+from tallyforge.plans import files as files_plan
 from tallyforge.session import materialise, new_run_folder, shared_folder
 from tallyforge.sinks import files, reports
 from tallyforge.streaming import stats, store
@@ -246,3 +247,14 @@ def test_reports_without_rows(spark):
     none = spark.createDataFrame([], "item_id string, title string, avg_rating double, n_ratings long")
     lines_of = reports.LAYOUTS["items"].whole(none)
     assert [r.value for r in lines_of.collect()] == list(reports.ITEM_HEAD)
+
+
+def test_reviews_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    texts = [(i, f"line {i}", 6) for i in range(100)]
+    rows_ = spark.createDataFrame(texts, "doc_id long, text string, n_chars long")
+    rows_.write.parquet(f"{tmp_path}/in/documents.parquet")
+    monkeypatch.setattr(files_plan, "REVIEWS", 5)
+    monkeypatch.setattr(files_plan, "new_run_folder", lambda *_: f"{tmp_path}/out")
+    found = files_plan.read_order_reviews(spark, f"{tmp_path}/in")
+    assert sorted(int(r.order_id) for r in found.collect()) == list(range(100))
+    assert len(found.inputFiles()) == 20
