@@ -619,3 +619,15 @@ def test_only_repeated_frames_are_sorted(spark, run):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "SortMergeJoin" not in plan
     assert [r.frame_id for r in first.orderBy("frame_id").collect()] == ["f1", "f2"]
+
+
+def test_pictures_in_files_of_bounded_size(spark, tmp_path, run_folders, monkeypatch):
+    texts = [(i, f"line {i}", "en", "web", 6) for i in range(100)]
+    layout = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(texts, layout).write.parquet(f"{tmp_path}/in/documents.parquet")
+    monkeypatch.setattr(streams, "PICTURES", 5)
+    found = streams.stream_detect(spark, f"{tmp_path}/in")
+    assert found.count() == 100
+    (run,) = run_folders
+    assert len(data_files(f"{run}/inbox")) == 20
+    assert len([n for n in os.listdir(f"{run}/checkpoint/commits") if n.isdecimal()]) == 2
