@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge import schemas
 from tallyforge.operators import frames
+from tallyforge.plans import frames as frame_plans
 from tallyforge.plans import streams
 from tallyforge.sinks.messages import to_messages
 from tallyforge.sources.messages import stream_kafka, stream_lines
@@ -631,3 +632,11 @@ def test_pictures_in_files_of_bounded_size(spark, tmp_path, run_folders, monkeyp
     (run,) = run_folders
     assert len(data_files(f"{run}/inbox")) == 20
     assert len([n for n in os.listdir(f"{run}/checkpoint/commits") if n.isdecimal()]) == 2
+
+
+def test_minutes_from_many_files(spark, events_folder, run_folders, monkeypatch):
+    monkeypatch.setattr(streams, "EVENTS", 6)
+    found = rows(streams.stream_by_minute(spark, events_folder))
+    assert found == rows(frame_plans.by_minute(spark, events_folder))
+    # 30 events in each of four batches
+    assert len(data_files(f"{run_folders[0]}/inbox")) == 5 * 4
