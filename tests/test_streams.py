@@ -640,3 +640,15 @@ def test_minutes_from_many_files(spark, events_folder, run_folders, monkeypatch)
     assert found == rows(frame_plans.by_minute(spark, events_folder))
     # 30 events in each of four batches
     assert len(data_files(f"{run_folders[0]}/inbox")) == 5 * 4
+
+
+def test_messages_are_read_and_parsed_once(spark, run):
+    write(run.source, "1.json", detection("f1", boxes=2), detection("f1", 99.0), detection("f2"), "{broken",
+          "{broken")
+    query = start(spark, run)
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    # Records and marks of new frames come from one shuffle
+    assert plan.count("FileScan text") == 1 and plan.count("from_json") == 1 and "ReusedExchange" in plan
+    assert stored(spark, run) == ([("f1", 1), ("f2", 1)], [("f1", 1), ("f2", 1)])
+    assert rows(spark.read.parquet(run.path("bad")).select("value")) == [("{broken",)] * 2
