@@ -652,3 +652,40 @@ def test_messages_are_read_and_parsed_once(spark, run):
     assert plan.count("FileScan text") == 1 and plan.count("from_json") == 1 and "ReusedExchange" in plan
     assert stored(spark, run) == ([("f1", 1), ("f2", 1)], [("f1", 1), ("f2", 1)])
     assert rows(spark.read.parquet(run.path("bad")).select("value")) == [("{broken",)] * 2
+
+
+def test_boxes_are_dealt_by_frame(spark, run, monkeypatch):
+    dealt = {}
+    real = segments.append
+
+    def append(table, df, *rest):
+        dealt[os.path.basename(table.path)] = df.count()
+        return real(table, df, *rest)
+
+    monkeypatch.setattr(segments, "append", append)
+    write(run.source, "1.json", detection("f1", boxes=5), detection("f2", boxes=0), detection("f3", boxes=7))
+    start(spark, run).awaitTermination()
+    assert dealt == {"boxes": 2, "events": 3}
+    assert stored(spark, run)[1] == [("f1", 5), ("f3", 7)]
+    # A batch without boxes is no segment of that table
+    write(run.source, "2.json", detection("f4", boxes=0))
+    start(spark, run).awaitTermination()
+    assert len(segments.current(spark, run.path("boxes")).segments) == 1
+    assert len(segments.current(spark, run.path("events")).segments) == 2
+
+
+def test_merged_boxes_of_one_file_are_dealt_to_tasks(spark, run, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="1k", spark__sql__shuffle__partitions="1",
+         spark__sql__adaptive__coalescePartitions__minPartitionSize="1k")
+    records = [(f"f{i:04}", i, i, i, i, 0.5) for i in range(4000)]
+    boxes = spark.createDataFrame(records, schemas.BOUNDING_BOXES).coalesce(1)
+    table = store.boxes_table(run.path("boxes"))
+    # One file, which one task reads
+    boxes.write.parquet(f"{table.path}/segment=w-0/bucket=0")
+    whole = segments.Segment("w-0", 0, 1, ("0",), ("w",), 1)
+    segments.publish(spark, table.path, segments.Version(0, (whole,), {"w": 0}))
+    merged = segments._write(table, segments.read(spark, table), "m", 1, 1, ["w"])
+    assert merged.buckets == 8 and len(merged.parts) == 8
+    files = spark.read.parquet(f"{table.path}/segment=m").inputFiles()
+    # More than one file a folder: several tasks have sorted the rows that one task read
+    assert len(files) > 8
